@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import SEPARATOR, id_and_text, staged, text_slices, with_known_ids
+from loomline.llm.common import BROADCAST_IDS, SEPARATOR, SPACE_RE, id_and_text, staged, text_slices, with_known_ids
 
 PRIMES = (2**31 - 1, 2**31 - 19)
 BASES = (1_000_003, 16_777_619)
@@ -130,3 +130,24 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         (alone | (F.col("row") == F.col("first.row"))).alias("kept"),
         "text_sha256",
     )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """docs without the rows that exact_duplicates() drops; all columns stay.
+
+    Rows are told by doc_id; where an id has rows that stay and rows that go, or is null, by the text as well.
+    """
+    found = staged(exact_duplicates(docs), "exact")
+    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    stay = found.where("kept AND group_size > 1").select("doc_id", "text_sha256").distinct()
+    both = staged(gone.join(stay, "doc_id", "left_semi"), "ids-that-repeat")
+    gone = staged(gone.join(both, "doc_id", "left_anti"), "gone")
+    small = gone.count() <= BROADCAST_IDS
+    out = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
+    if both.isEmpty() and found.where("doc_id IS NULL").isEmpty():
+        return out.select(*docs.columns)
+    stay = found.where("kept").join(both, "doc_id", "left_semi").unionByName(found.where("kept AND doc_id IS NULL")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_RE, " "), 256)
+    doubtful = out.join(both, "doc_id", "left_semi").unionByName(out.where("doc_id IS NULL")).withColumn("_sha", sha)
+    one = doubtful.join(stay.withColumnRenamed("_sha", "_s"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_s"))).dropDuplicates(["_id", "_s"])
+    return out.where("doc_id IS NOT NULL").join(both, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

@@ -100,17 +100,17 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, rank: int =
     return Voters(mean, basis, (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32), labels, weights)
 
 
-def score(docs: DataFrame, voters: Voters, keep: list[str]) -> DataFrame:
-    """The columns `keep` of docs, and score."""
+def score(docs: DataFrame, voters: Voters, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns `keep` of docs, and the vote for label 1 under `name`."""
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(voters)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch):
-                yield part.select(keep).append_column("score", pa.array(sent.value.score(trigram_vectors(data, offsets))))
+                yield part.select(keep).append_column(name, pa.array(sent.value.score(trigram_vectors(data, offsets))))
 
-    return docs.mapInArrow(vote, T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(vote, T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())]))
 
 
 def labels_by_id(labels: DataFrame, column: str = "quality") -> DataFrame:
@@ -127,3 +127,9 @@ def classify(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1
     voters = fit(docs, labels_by_id(labels).where(crc_bucket(F.col("doc_id"), modulus) != held))
     scored = score(id_and_text(docs), voters, ["doc_id"])
     return scored.select("doc_id", (crc_bucket(F.col("doc_id"), modulus) == held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
+    """The rows of docs, with all their columns, that classify() predicts to be of label 1."""
+    voters = fit(docs, labels_by_id(labels).where(crc_bucket(F.col("doc_id"), modulus) != held))
+    return score(docs, voters, docs.columns, "_vote").where("_vote >= 0.5").drop("_vote")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import exact_dedup, language, media, mixing, packing, quality, sharding, tokens
+from loomline.llm import exact_dedup, jaccard, language, media, mixing, packing, quality, sharding, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_mixing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -60,7 +64,7 @@ FROM normal
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op10_exact_dedup)
+    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op10_exact_dedup)
     return {f.__name__: f for f in ops}
 
 
