@@ -1,17 +1,18 @@
 """N-gram Jaccard join by a token-group matrix.
 
-Each document is the set of 64-bit hashes of its distinct word shingles; equal sets are one class from here on. The join
-is exact (but for hash collisions):
+Each document is the set of 64-bit hashes of its distinct word shingles; equal sets are one class, named by a 64-bit hash
+of the set, from here on. The join is exact (but for hash collisions):
 
 1. A global order of tokens: rare ones first, by counts of all documents' tokens in a table of fixed size, then by hash.
-   Two sets of similarity t or more share SHARED tokens among the first |x| - ceil(t |x|) + SHARED of each (the prefix filter).
+   Two sets of similarity t or more share s tokens among the first |x| - ceil(t |x|) + s of each (the prefix filter);
+   s grows with the set, so that passages or phrases that many texts have don't make them meet.
    Classes with fewer prefix tokens in common with others take no further part.
 2. Similar documents become groups: classes with an equal min-hash (of KEYS different ones) meet in chunks of at most
    CHUNK, where exact intersections are computed as a matrix product; links join them. No chunk grows with the data.
 3. The token-group matrix holds each group's token union: distinct (prefix token, group). Joined with the tokens of the
-   classes outside the group it bounds how much of a class a group can hold; only groups with SHARED tokens or more are opened.
+   classes outside the group it bounds how much of a class a group can hold; only groups that reach s are opened.
    A group of thousands of near copies has one row a token, so its members don't meet each other again.
-4. In opened groups, members that share SHARED prefix tokens and have a fitting size are compared exactly.
+4. In opened groups, members that share s prefix tokens and have a fitting size are compared exactly.
 
 Links within and between groups give the components.
 """
@@ -28,11 +29,9 @@ from pyspark.sql import functions as F
 from loomline.llm.common import BROADCAST_IDS, id_and_text, lower_ascii, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
 from loomline.llm.graph import components
 
-SHARED = 3
 KEYS = 3
 CHUNK = 256
 BUCKET_BITS = 18
-KEY = ["h1", "h2", "n"]
 _SALTS = [np.uint64(x) for x in (0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -50,8 +49,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     return [np.unique(shingles[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _set_key(s: np.ndarray) -> tuple[int, int]:
-    return int(mix(s ^ _SALTS[0]).sum().astype(np.int64)), int(mix(s ^ _SALTS[1]).sum().astype(np.int64))
+def _set_key(s: np.ndarray) -> int:
+    return int(mix(mix(s ^ _SALTS[0]).sum(keepdims=True) ^ mix(s + _SALTS[1]).sum(keepdims=True)).astype(np.int64)[0])
 
 
 def needed(n: int, percent: int) -> int:
@@ -59,6 +58,17 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def overlap(n: int, percent: int) -> int:
+    """s for a set of n: its prefix has n - needed + s tokens."""
+    return min(needed(n, percent), 6 + n // 20)
+
+
+def least_overlap(n: str, percent: int) -> str:
+    """SQL for the least s of all sets that one of n may be similar to: so many prefix tokens two similar sets share."""
+    least = f"(({percent} * {n} + 99) div 100)"
+    return f"least(({percent} * {least} + 99) div 100, 6 + {least} div 20)"
+
+
 def bucket_levels(docs: DataFrame, words: int) -> np.ndarray:
     """How common the tokens of each of 2^BUCKET_BITS buckets are, in powers of two above the median bucket; a table of fixed size."""
 
@@ -79,7 +89,7 @@ def bucket_levels(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, h1, h2, n (the set's hash and size) and its prefix tokens in the global order."""
+    """doc_id, cls, n (the set's hash and size) and its prefix tokens in the global order."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,30 +99,29 @@ def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) -> D
                 for s in shingle_sets(data, offsets, words):
                     n = len(s)
                     order = (sent.value[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix(s ^ _SALTS[2]) >> np.uint64(8))
-                    most = min(n, n - needed(n, percent) + SHARED)
+                    most = n - needed(n, percent) + overlap(n, percent)
                     keep = np.argpartition(order, most - 1)[:most] if n else np.zeros(0, np.int64)
                     keys.append(_set_key(s))
                     sizes.append(n)
                     tokens.append(s[keep].view(np.int64))
-                key = np.array(keys, np.int64).reshape(-1, 2)
                 flat = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(t) for t in tokens])].astype(np.int32)), pa.array(np.concatenate(tokens)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), pa.array(sizes, pa.int64()), flat], ["doc_id", *KEY, "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), flat], ["doc_id", "cls", "n", "prefix"])
 
-    return docs.mapInArrow(cut, "doc_id long, h1 long, h2 long, n long, prefix array<long>")
+    return docs.mapInArrow(cut, "doc_id long, cls long, n long, prefix array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """h1, h2, n, keys (KEYS min-hashes) and the whole set, as sorted unsigned 64-bit numbers, of each row."""
+    """cls, n, keys (KEYS min-hashes) and the whole set, as sorted unsigned 64-bit numbers, of each row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in text_slices(batch):
-                rows = [(*_set_key(s), len(s), [int(mix(s ^ salt).min().astype(np.int64)) for salt in (_SALTS[2] + np.uint64(1), _SALTS[3], _SALTS[4])], s.tobytes()) for s in shingle_sets(data, offsets, words) if len(s)]
+                rows = [(_set_key(s), len(s), [int(mix(s ^ salt).min().astype(np.int64)) for salt in (_SALTS[2] + np.uint64(1), _SALTS[3], _SALTS[4])], s.tobytes()) for s in shingle_sets(data, offsets, words) if len(s)]
                 if rows:
                     columns = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], [*KEY, "keys", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], ["cls", "n", "keys", "tokens"])
 
-    return docs.mapInArrow(make, "h1 long, h2 long, n long, keys array<long>, tokens binary")
+    return docs.mapInArrow(make, "cls long, n long, keys array<long>, tokens binary")
 
 
 def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -145,10 +154,11 @@ def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 def group_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes that share a min-hash and met in a chunk."""
-    keyed = sets.select("cls", "tokens", F.posexplode("keys").alias("which", "mark"))
+    keyed = sets.select("cls", F.posexplode("keys").alias("which", "mark"))
     sizes = staged(keyed.groupBy("which", "mark").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "marks")
     chunk = F.pmod(F.xxhash64("cls", "which"), F.ceil(F.col("size") / CHUNK)).cast("int").alias("chunk")
-    dealt = keyed.join(sizes, ["which", "mark"]).select("which", "mark", chunk, "cls", "tokens")
+    plan = keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"))  # KEYS a class at most
+    dealt = sets.select("cls", "tokens").join(staged(plan, "chunks"), "cls").select("cls", "tokens", F.inline("chunks"))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []
@@ -188,6 +198,28 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(compare, "a long, b long")
 
 
+def shared_tokens(table: DataFrame) -> DataFrame:
+    """cls, token: the prefix tokens that two classes or more have, once for each of these (and a few others, at the ends of batches).
+
+    One range sort by (token, cls) brings a token's classes side by side; a token of very many classes goes on
+    through several tasks.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, cls = batch.column("token").to_numpy(), batch.column("cls").to_numpy()
+            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
+            token, cls = token[new], cls[new]
+            same = token[1:] == token[:-1]
+            live = np.r_[True, same] | np.r_[same, True] | (token == token[0]) | (token == token[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(cls[live]), pa.array(token[live])], ["cls", "token"])
+
+    rows = table.where("n > 0").select(F.explode("prefix").alias("token"), "cls")
+    return rows.repartitionByRange("token", "cls").sortWithinPartitions("token", "cls").mapInArrow(keep, "cls long, token long")
+
+
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: documents link when 100 * intersection >= percent * union of their shingle sets.
 
@@ -196,33 +228,31 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     come out as often as they came in; an empty table gives an empty result.
     """
     base = id_and_text(docs)
-    table = staged(prefixes(base, words, percent, bucket_levels(base, words)).withColumn("row", F.monotonically_increasing_id()), "prefixes")
-    classes = staged(table.where("n > 0").groupBy(*KEY).agg(F.min("row").alias("cls"), F.min("doc_id").alias("first_doc")), "classes")
-
-    # prefix tokens that two classes or more have, and the classes with enough of them
-    tokens = classes.where(f"n >= {SHARED} AND first_doc IS NOT NULL").select("cls").join(table.select(F.col("row").alias("cls"), "n", "prefix"), "cls").select("cls", "n", F.explode("prefix").alias("token"))
-    tokens = staged(tokens, "tokens")
-    common = staged(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "common")
-    met = staged(tokens.join(common, "token", "left_semi"), "met")
-    live = staged(met.groupBy("cls").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {SHARED}").select("cls").join(classes, "cls"), "live")
+    table = staged(prefixes(base, words, percent, bucket_levels(base, words)), "prefixes")
+    classes = staged(table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc")), "classes")
+    met = staged(shared_tokens(table), "met")
+    enough = F.expr(f"c >= {least_overlap('n', percent)}")
+    counts = met.groupBy("cls").agg(F.count_distinct("token").alias("c"))
+    live = staged(counts.join(classes.where("first_doc IS NOT NULL"), "cls").where(enough).drop("c"), "live")
 
     ids = staged(live.select(F.col("first_doc").alias("doc_id")).distinct(), "live-ids")
-    sets = full_sets(with_known_ids(base, ids, ids.count()).select("doc_id", "text"), words).join(live.select("cls", *KEY), KEY)
-    sets = staged(sets.groupBy("cls").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("tokens").alias("tokens")), "sets")
+    sets = full_sets(with_known_ids(base, ids, ids.count()).select("doc_id", "text"), words)
+    sets = sets.join(live.select("cls"), "cls", "left_semi").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "keys", "tokens")])
+    sets = staged(sets, "sets")
 
     roots = staged(components(staged(group_links(sets, percent), "links")), "groups")
     group = F.coalesce("root", F.col("cls")).alias("grp")
-    grouped = staged(met.join(live.select("cls"), "cls", "left_semi").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", "token", group), "grouped")
+    grouped = staged(met.distinct().join(live.select("cls", "n"), "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", "token", group), "grouped")
     matrix = staged(grouped.select("token", F.col("grp").alias("other")).distinct(), "matrix")
     # a token that only one group has opens nothing
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     matrix = staged(matrix.join(several, "token", "left_semi"), "matrix-open")
-    opened = grouped.join(matrix, "token").where("other < grp").groupBy("cls", "other").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {SHARED}").select("cls", "other")
+    opened = grouped.join(matrix, "token").where("other < grp").groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("c")).where(enough).select("cls", "other")
     opened = staged(opened, "opened")
     asked = grouped.join(opened, "cls").select("cls", "n", "token", "other")
     inside = grouped.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "token", F.col("grp").alias("other"))
     pairs = asked.join(inside, ["token", "other"]).where(f"100 * n >= {percent} * nb AND 100 * nb >= {percent} * n")
-    pairs = staged(pairs.groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {SHARED}").select("a", "b"), "pairs")
+    pairs = staged(pairs.groupBy(F.col("cls").alias("a"), "b", "n").agg(F.count(F.lit(1)).alias("c")).where(enough).select("a", "b"), "pairs")
     links = verified(pairs, sets.select("cls", "tokens"), percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
     roots = components(links)
@@ -230,8 +260,8 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     joined = staged(joined.join(classes.select("cls", "first_doc"), "cls"), "joined")
     least = staged(joined.groupBy("root").agg(F.min("first_doc").alias("component")), "least")
     named = staged(joined.join(least, "root").select("cls", "component"), "named")
-    final = staged(classes.join(named, "cls", "left").select(*KEY, F.coalesce("component", "first_doc").alias("component_id")), "components")
-    return table.join(final, KEY, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    final = staged(classes.join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id")), "components")
+    return table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
