@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomline.llm import exact_dedup, jaccard, language, media, mixing, packing, quality, sharding, tokens
+from loomline.llm import exact_dedup, jaccard, language, media, mixing, packing, quality, sharding, suffixes, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, with_ids=False)
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ FROM normal
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op10_exact_dedup)
+    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup)
     return {f.__name__: f for f in ops}
 
 
