@@ -76,7 +76,7 @@ def shard_draws(total: list[int], shards: int, seed: int) -> np.ndarray:
 
 @dataclass
 class Mix:
-    """rows: row, doc_id, source, key, size, start and the given columns; sources: key to (size, target);
+    """rows: row, doc_id, source, key, size, start, and doc if carried; sources: key to (size, target);
     slots: shard, slot, key, pass, block, take; whole: passes that take all of a source, by key."""
 
     rows: DataFrame
@@ -85,13 +85,13 @@ class Mix:
     block: int
 
 
-def plan_mix(docs: DataFrame, carry: list[str], block: int = 512, shards: int = 64, seed: int = 7, weights: tuple[float, ...] = WEIGHTS) -> Mix:
-    """Lay out the sources and draw the mix. Sizes are words (null text: 0); sources are few enough for the driver (one row each)."""
+def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, seed: int = 7, weights: tuple[float, ...] = WEIGHTS) -> Mix:
+    """Lay out the sources and draw the mix; carry keeps each row's columns, as the struct doc. Sizes are words (null text: 0); sources are few enough for the driver (one row each)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_RE)), F.lit(0)).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), key.alias("key"), size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), *[c for c in carry if c not in ("doc_id", "source")]), "sized")
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), key.alias("key"), size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), *([F.struct(*docs.columns).alias("doc")] if carry else [])), "sized")
     found = {r["key"]: (r["n"], r["rows"]) for r in rows.groupBy("key").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
     want = targets({k[1:] if k else None: n for k, (n, _) in found.items()}, weights)
     sources = {k: (n, want[k[1:] if k else None]) for k, (n, _) in found.items()}
@@ -145,7 +145,7 @@ def mix_sources(docs: DataFrame, block: int = 512, shards: int = 64, seed: int =
     counted. Null is a source of its own, after the others. Documents without words are never taken. Repeated rows are rows like
     others. An empty table gives an empty result. The same table gives the same mix.
     """
-    mix = plan_mix(docs, [], block, shards, seed, weights)
+    mix = plan_mix(docs, False, block, shards, seed, weights)
     taken = taken_pieces(mix).groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     about = docs.sparkSession.createDataFrame([(k, n, t) for k, (n, t) in mix.sources.items()], "key string, source_size long, target double")
     return mix.rows.join(F.broadcast(about), "key").join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
@@ -157,13 +157,13 @@ def mixed_documents(docs: DataFrame, block: int = 512, shards: int = 64, seed: i
     A pass that takes all of a document has its text as it is; one that takes some blocks of it has these words, in
     order, with one space between. n_chars, where present, is counted anew.
     """
-    mix = plan_mix(docs, docs.columns, block, shards, seed, weights)
+    mix = plan_mix(docs, True, block, shards, seed, weights)
     parts = taken_pieces(mix).groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("ranges"), F.sum(F.col("to_word") - F.col("from_word")).alias("words"))
-    met = mix.rows.drop("key", "start").join(parts, "row")
+    met = mix.rows.select("row", "size", "doc").join(parts, "row")
     partly = F.col("words") < F.col("size")
-    words: Column = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    words: Column = F.filter(F.split("doc.text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     some = F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(words, (r["from_word"] + 1).cast("int"), (r["to_word"] - r["from_word"]).cast("int")))), " ")
-    out = met.withColumn("text", F.when(partly, some).otherwise(F.col("text")))
+    doc = F.col("doc").withField("text", F.when(partly, some).otherwise(F.col("doc.text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        doc = doc.withField("n_chars", F.length(doc["text"]).cast(docs.schema["n_chars"].dataType))
+    return met.select(doc.alias("doc")).select("doc.*")

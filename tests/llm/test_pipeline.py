@@ -1,0 +1,23 @@
+"""The pipeline's stages one after the other on the smallest table."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        counts.append(docs.count())
+        if i < 4:
+            assert docs.columns == columns
+        if i == 1:
+            assert docs.groupBy(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " ")).count().where("count > 1").isEmpty()
+    assert counts[1] < counts[0] and counts[2] < counts[1] and counts[3] <= counts[2]
+    assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
