@@ -7,12 +7,14 @@ of the set, from here on. The join is exact (but for hash collisions):
    Two sets of similarity t or more share s tokens among the first |x| - ceil(t |x|) + s of each (the prefix filter);
    s grows with the set, so that passages or phrases that many texts have don't make them meet.
    Classes with fewer prefix tokens in common with others take no further part.
-2. Similar documents become groups: classes with an equal min-hash (of KEYS different ones) meet in chunks of at most
-   CHUNK, where exact intersections are computed as a matrix product; links join them. No chunk grows with the data.
+2. Classes with an equal min-hash (of KEYS different ones) meet in chunks of at most CHUNK, where exact intersections are
+   computed as a matrix product; links join them. No chunk grows with the data. The chunks of the first min-hash are
+   the groups of similar documents.
 3. The token-group matrix holds each group's token union: distinct (prefix token, group). Joined with the tokens of the
-   classes outside the group it bounds how much of a class a group can hold; only groups that reach s are opened.
-   A group of thousands of near copies has one row a token, so its members don't meet each other again.
-4. In opened groups, members that share s prefix tokens and have a fitting size are compared exactly.
+   classes outside the group it bounds how much of a class a group can hold; only groups that reach s are opened, and
+   tokens that a group has only from the class's own component don't count.
+4. An opened group's members meet the classes that opened it, block by block, again as a matrix product: no pairs are
+   written but the links.
 
 Links within and between groups give the components.
 """
@@ -152,24 +154,50 @@ def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         root = least
 
 
-def group_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes that share a min-hash and met in a chunk."""
+def link_blocks(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (query's index, member's index)."""
+    token, owner = np.concatenate(members), np.repeat(np.arange(len(members)), [len(m) for m in members])
+    known, column = np.unique(token, return_inverse=True)
+    asked, asker = np.concatenate(queries), np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    hit = known[at] == asked
+    used, place = np.unique(at[hit], return_inverse=True)
+    asker = asker[hit]
+    of = np.searchsorted(used, column)
+    inside = (of < len(used)) & (used[np.minimum(of, max(0, len(used) - 1))] == column) if len(used) else np.zeros(len(column), bool)
+    owner, of = owner[inside], of[inside]
+    both = np.zeros((len(queries), len(members)), np.float32)
+    for lo in range(0, len(used), 8192):
+        width = min(8192, len(used) - lo)
+        x, y = np.zeros((len(queries), width), np.float32), np.zeros((len(members), width), np.float32)
+        here, there = (place >= lo) & (place < lo + width), (of >= lo) & (of < lo + width)
+        x[asker[here], place[here] - lo] = 1
+        y[owner[there], of[there] - lo] = 1
+        both += x @ y.T
+    sizes = np.array([len(q) for q in queries])[:, None] + np.array([len(m) for m in members])[None, :]
+    return [(int(i), int(j)) for i, j in np.argwhere(100 * both >= percent * (sizes - both))]
+
+
+def chunks_of(sets: DataFrame) -> DataFrame:
+    """cls, chunks (which, mark, chunk): where a class meets others with an equal min-hash."""
     keyed = sets.select("cls", F.posexplode("keys").alias("which", "mark"))
     sizes = staged(keyed.groupBy("which", "mark").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "marks")
     chunk = F.pmod(F.xxhash64("cls", "which"), F.ceil(F.col("size") / CHUNK)).cast("int").alias("chunk")
-    plan = keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"))  # KEYS a class at most
-    dealt = sets.select("cls", "tokens").join(staged(plan, "chunks"), "cls").select("cls", "tokens", F.inline("chunks"))
+    return keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"))  # KEYS a class at most
+
+
+def group_links(sets: DataFrame, plan: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes that share a min-hash and met in a chunk."""
+    dealt = sets.select("cls", "tokens").join(plan, "cls").select("cls", "tokens", F.inline("chunks"))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []
         last = None
 
         def close() -> Iterator[pa.RecordBatch]:
-            # chunks are filled by hash; one that got over twice its share is halved, and other keys join its parts
-            for i in range(0, len(held), 2 * CHUNK):
-                part = held[i : i + 2 * CHUNK]
-                if len(part) > 1 and (found := link_chunk([s for _, s in part], percent)):
-                    yield pa.RecordBatch.from_arrays([pa.array([part[i][0] for i, _ in found], pa.int64()), pa.array([part[r][0] for _, r in found], pa.int64())], ["a", "b"])
+            # chunks are filled by hash, so they hold about CHUNK sets each
+            if len(held) > 1 and (found := link_chunk([s for _, s in held], percent)):
+                yield pa.RecordBatch.from_arrays([pa.array([held[i][0] for i, _ in found], pa.int64()), pa.array([held[r][0] for _, r in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
             for key, cls, tokens in zip(zip(*(batch.column(c).to_pylist() for c in ("which", "mark", "chunk")), strict=True), batch.column("cls").to_pylist(), batch.column("tokens"), strict=True):
@@ -182,20 +210,29 @@ def group_links(sets: DataFrame, percent: int) -> DataFrame:
     return dealt.repartition("which", "mark", "chunk").sortWithinPartitions("which", "mark", "chunk", "cls").mapInArrow(links, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by exact intersection."""
-    met = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
+def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes (cls, other: the group to open) and the groups' members (cls, grp), by exact intersection."""
+    asked = opened.join(sets, "cls").select(F.col("other").alias("grp"), F.lit(1).alias("part"), "cls", "tokens")
+    held = members.join(opened.select(F.col("other").alias("grp")).distinct(), "grp").join(sets, "cls").select("grp", F.lit(0).alias("part"), "cls", "tokens")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, own, asking = None, [], []
+
+        def meet() -> Iterator[pa.RecordBatch]:
+            if own and asking and (found := link_blocks([s for _, s in asking], [s for _, s in own], percent)):
+                yield pa.RecordBatch.from_arrays([pa.array([asking[i][0] for i, _ in found], pa.int64()), pa.array([own[j][0] for _, j in found], pa.int64())], ["a", "b"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for grp, part, cls, tokens in zip(batch.column("grp").to_pylist(), batch.column("part").to_pylist(), batch.column("cls").to_pylist(), batch.column("tokens"), strict=True):
+                if grp != group or len(asking) == CHUNK:
+                    yield from meet()
+                    asking = []
+                    if grp != group:
+                        group, own = grp, []
+                (asking if part else own).append((cls, np.frombuffer(tokens.as_py(), np.uint64)))
+        yield from meet()
 
-    return met.mapInArrow(compare, "a long, b long")
+    return held.unionByName(asked).repartition("grp").sortWithinPartitions("grp", "part", "cls").mapInArrow(links, "a long, b long")
 
 
 def shared_tokens(table: DataFrame) -> DataFrame:
@@ -240,20 +277,21 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     sets = sets.join(live.select("cls"), "cls", "left_semi").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "keys", "tokens")])
     sets = staged(sets, "sets")
 
-    roots = staged(components(staged(group_links(sets, percent), "links")), "groups")
-    group = F.coalesce("root", F.col("cls")).alias("grp")
-    grouped = staged(met.distinct().join(live.select("cls", "n"), "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "n", "token", group), "grouped")
-    matrix = staged(grouped.select("token", F.col("grp").alias("other")).distinct(), "matrix")
+    plan = staged(chunks_of(sets), "chunks")
+    linked = staged(components(staged(group_links(sets, plan, percent), "links")), "linked")
+    first = F.filter("chunks", lambda c: c["which"] == 0)
+    groups = live.select("cls", "n").join(plan.where(F.size(first) > 0).select("cls", F.xxhash64(first[0]["mark"], first[0]["chunk"]).alias("grp")), "cls", "left")
+    groups = groups.join(linked.select(F.col("node").alias("cls"), "root"), "cls", "left").select("cls", "n", F.coalesce("grp", "cls").alias("grp"), F.coalesce("root", "cls").alias("comp"))
+    groups = staged(groups, "groups")
+    grouped = staged(met.distinct().join(groups, "cls"), "grouped")
+    matrix = staged(grouped.groupBy("token", F.col("grp").alias("other")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "matrix")
     # a token that only one group has opens nothing
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     matrix = staged(matrix.join(several, "token", "left_semi"), "matrix-open")
-    opened = grouped.join(matrix, "token").where("other < grp").groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("c")).where(enough).select("cls", "other")
-    opened = staged(opened, "opened")
-    asked = grouped.join(opened, "cls").select("cls", "n", "token", "other")
-    inside = grouped.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "token", F.col("grp").alias("other"))
-    pairs = asked.join(inside, ["token", "other"]).where(f"100 * n >= {percent} * nb AND 100 * nb >= {percent} * n")
-    pairs = staged(pairs.groupBy(F.col("cls").alias("a"), "b", "n").agg(F.count(F.lit(1)).alias("c")).where(enough).select("a", "b"), "pairs")
-    links = verified(pairs, sets.select("cls", "tokens"), percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    met_groups = grouped.join(matrix, "token").where("other < grp AND NOT (low = high AND low = comp)")
+    opened = staged(met_groups.groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("c")).where(enough).select("cls", "other"), "opened")
+    between = opened_links(opened, groups.select("cls", "grp"), sets.select("cls", "tokens"), percent)
+    links = between.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
     roots = components(links)
     joined = roots.select(F.col("node").alias("cls"), "root").unionByName(roots.select(F.col("root").alias("cls"), "root").distinct())

@@ -161,7 +161,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     ends = runs.select(F.col("first.h").alias("h"), F.lit(True).alias("left")).unionByName(runs.select(F.col("last.h").alias("h"), F.lit(False).alias("left"))).distinct()
     asked = staged(spots.join(ends, "h").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "left")).alias("spots")), "asked")
-    found = staged(contexts(with_known_ids(base, asked, asked.count()).select("doc_id", "text", "spots")), "contexts")
+    live = with_known_ids(base, asked.select("doc_id"), asked.count())  # ids alone are broadcast; the spots, which grow with the texts, are not
+    found = staged(contexts(live.join(asked, "doc_id").select("doc_id", "text", "spots")), "contexts")
     reach = staged(extents(found).select("left", "h", F.xxhash64("words").alias("key"), "reach"), "reach")
     at = found.select("doc_id", "pos", "left", "h", F.xxhash64("words").alias("key")).join(reach, ["left", "h", "key"])
     at = staged(at.groupBy("doc_id", "pos", "left").agg(F.max("reach").alias("reach")), "reached")
