@@ -6,13 +6,14 @@ of the set, from here on. The join is exact (but for hash collisions):
 1. A global order of tokens: rare ones first, by counts of all documents' tokens in a table of fixed size, then by hash.
    Two sets of similarity t or more share s tokens among the first |x| - ceil(t |x|) + s of each (the prefix filter);
    s grows with the set, so that passages or phrases that many texts have don't make them meet.
-   Classes with fewer prefix tokens in common with others take no further part.
+   Only classes near enough in size count. Classes with fewer prefix tokens in common with such others take no further part;
+   the rest keep those of their common tokens that are rarest by exact counts over all these classes.
 2. Classes with an equal min-hash (of KEYS different ones) meet in chunks of at most CHUNK, where exact intersections are
    computed as a matrix product; links join them. No chunk grows with the data. The chunks of the first min-hash are
    the groups of similar documents.
 3. The token-group matrix holds each group's token union: distinct (prefix token, group). Joined with the tokens of the
-   classes outside the group it bounds how much of a class a group can hold; only groups that reach s are opened, and
-   tokens that a group has only from the class's own component don't count.
+   classes outside the group, of like sizes, it bounds how much of a class a group can hold; only groups that reach the bound
+   are opened, and tokens that a group has only from the class's own component don't count.
 4. An opened group's members meet the classes that opened it, block by block, again as a matrix product: no pairs are
    written but the links.
 
@@ -22,6 +23,7 @@ Links within and between groups give the components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,10 @@ from loomline.llm.graph import components
 KEYS = 3
 CHUNK = 256
 BUCKET_BITS = 18
+#: Times that classes with too few tokens in common go before the groups are made.
+ROUNDS = 1
+#: Of the tokens that two similar sets share for certain, so many must be among the rarest of each.
+FEW = 3
 _SALTS = [np.uint64(x) for x in (0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -235,26 +241,54 @@ def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent
     return held.unionByName(asked).repartition("grp").sortWithinPartitions("grp", "part", "cls").mapInArrow(links, "a long, b long")
 
 
-def shared_tokens(table: DataFrame) -> DataFrame:
-    """cls, token: the prefix tokens that two classes or more have, once for each of these (and a few others, at the ends of batches).
+def shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
+    """Of rows (cls, n, token), each distinct cls and token once, where another class that has the token is near enough in size to be similar.
 
-    One range sort by (token, cls) brings a token's classes side by side; a token of very many classes goes on
-    through several tasks.
+    One range sort by (token, n, cls) brings a token's classes side by side, so the nearest in size is a neighbour; a token of
+    very many classes goes on through several tasks. At the ends of batches a few rows more stay.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # the last row of the batch before
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, cls = batch.column("token").to_numpy(), batch.column("cls").to_numpy()
-            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
-            token, cls = token[new], cls[new]
-            same = token[1:] == token[:-1]
-            live = np.r_[True, same] | np.r_[same, True] | (token == token[0]) | (token == token[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(cls[live]), pa.array(token[live])], ["cls", "token"])
+            token, n, cls = (batch.column(c).to_numpy() for c in ("token", "n", "cls"))
+            new = np.r_[before is None or before[0] != token[0] or before[2] != cls[0], (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
+            known = before or (token[0], n[0], cls[0])
+            before = (token[-1], n[-1], cls[-1])
+            token, n, cls = token[new], n[new], cls[new]
+            if not len(token):
+                continue
+            near = (token[1:] == token[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            # the first row's neighbour is known unless it is with another task, the last one's never
+            live = np.r_[known[0] == token[0] and 100 * known[1] >= percent * n[0], near] | np.r_[near, True]
+            yield pa.RecordBatch.from_arrays([pa.array(cls[live]), pa.array(n[live]), pa.array(token[live])], ["cls", "n", "token"])
+
+    return rows.select("cls", "n", "token").repartitionByRange("token", "n", "cls").sortWithinPartitions("token", "n", "cls").mapInArrow(keep, "cls long, n long, token long")
+
+
+def with_enough(met: DataFrame, percent: int) -> DataFrame:
+    """cls, n, tokens of the classes that have as many tokens in common with others as with a similar one, at the least."""
+    held = met.groupBy("cls").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"))  # a class's own prefix
+    return held.where(F.expr(f"size(tokens) >= {least_overlap('n', percent)}"))
+
 
-    rows = table.where("n > 0").select(F.explode("prefix").alias("token"), "cls")
-    return rows.repartitionByRange("token", "cls").sortWithinPartitions("token", "cls").mapInArrow(keep, "cls long, token long")
+def few(n: str, percent: int) -> str:
+    """SQL for how many of the rarest common tokens a set of n must share with a group to open it."""
+    return f"least({FEW}, {least_overlap(n, percent)})"
+
+
+def rarest(held: DataFrame, percent: int) -> DataFrame:
+    """cls, n, tokens with each class's rarest tokens only, by exact counts over all classes held.
+
+    Of c tokens in common with others a class shares at least s with a similar one. In any order of tokens that is the same for both,
+    the first few of these shared ones are among the first c - s + few of either; the most common tokens go.
+    """
+    each = held.select("cls", "n", F.explode("tokens").alias("token"))
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    ordered = each.join(counts, "token").groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token")))["token"].alias("tokens"))
+    return ordered.withColumn("tokens", F.slice("tokens", F.lit(1), F.expr(f"cast(size(tokens) - {least_overlap('n', percent)} + {few('n', percent)} AS int)")))
 
 
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -267,10 +301,13 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     base = id_and_text(docs)
     table = staged(prefixes(base, words, percent, bucket_levels(base, words)), "prefixes")
     classes = staged(table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc")), "classes")
-    met = staged(shared_tokens(table), "met")
-    enough = F.expr(f"c >= {least_overlap('n', percent)}")
-    counts = met.groupBy("cls").agg(F.count_distinct("token").alias("c"))
-    live = staged(counts.join(classes.where("first_doc IS NOT NULL"), "cls").where(enough).drop("c"), "live")
+    met = staged(shared_tokens(table.where("n > 0").select("cls", "n", F.explode("prefix").alias("token")), percent), "met")
+    # classes that go take their tokens along, which leaves others with too few
+    for _ in range(ROUNDS):
+        held = staged(with_enough(met, percent), "held")
+        met = staged(shared_tokens(held.select("cls", "n", F.explode("tokens").alias("token")), percent), "met")
+    held = staged(with_enough(met, percent), "held")
+    live = staged(rarest(held, percent).join(classes.select("cls", "first_doc").where("first_doc IS NOT NULL"), "cls"), "live")
 
     ids = staged(live.select(F.col("first_doc").alias("doc_id")).distinct(), "live-ids")
     sets = full_sets(with_known_ids(base, ids, ids.count()).select("doc_id", "text"), words)
@@ -283,13 +320,13 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     groups = live.select("cls", "n").join(plan.where(F.size(first) > 0).select("cls", F.xxhash64(first[0]["mark"], first[0]["chunk"]).alias("grp")), "cls", "left")
     groups = groups.join(linked.select(F.col("node").alias("cls"), "root"), "cls", "left").select("cls", "n", F.coalesce("grp", "cls").alias("grp"), F.coalesce("root", "cls").alias("comp"))
     groups = staged(groups, "groups")
-    grouped = staged(met.distinct().join(groups, "cls"), "grouped")
-    matrix = staged(grouped.groupBy("token", F.col("grp").alias("other")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "matrix")
-    # a token that only one group has opens nothing
-    several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    matrix = staged(matrix.join(several, "token", "left_semi"), "matrix-open")
-    met_groups = grouped.join(matrix, "token").where("other < grp AND NOT (low = high AND low = comp)")
-    opened = staged(met_groups.groupBy("cls", "n", "other").agg(F.count(F.lit(1)).alias("c")).where(enough).select("cls", "other"), "opened")
+    # sizes of similar sets are in one band or in neighbouring ones
+    band = F.floor(F.log(F.col("n").cast("double")) / (log(100 / percent) + 1e-9)).cast("int")
+    grouped = staged(live.select("cls", F.explode("tokens").alias("token")).join(groups, "cls").withColumn("band", band), "grouped")
+    matrix = staged(grouped.groupBy("token", "band", F.col("grp").alias("other")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "matrix")
+    asked = grouped.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    met_groups = asked.join(matrix, ["token", "band"]).where("other < grp AND NOT (low = high AND low = comp)")
+    opened = staged(met_groups.groupBy("cls", "n", "other").agg(F.count_distinct("token").alias("c")).where(F.expr(f"c >= {few(f'(({percent} * n + 99) div 100)', percent)}")).select("cls", "other"), "opened")
     between = opened_links(opened, groups.select("cls", "grp"), sets.select("cls", "tokens"), percent)
     links = between.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
