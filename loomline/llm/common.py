@@ -82,8 +82,8 @@ def running_offset(table: DataFrame, keys: list[str], order: list[str], out: str
     return counted.join(starts, [*keys, "_b"]).withColumn(out, F.col("_start") + F.col("_in")).drop("_b", "_in", "_start")
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of a batch of about `most` bytes of text, each with its bytes and the offsets of its rows; null is empty."""
+def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch of about `most` bytes of text and `rows` rows at most, each with its bytes and the offsets of its rows; null is empty."""
     texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
     if len(texts) == 0:
         return
@@ -91,7 +91,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_B
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     at = 0
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        to = min(at + rows, max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
         yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 

@@ -27,6 +27,8 @@ WIDTH = BINS + 1
 RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 8
+#: Texts whose vectors one numpy pass makes, about 50 kB each; without it, batches of short texts would need much more.
+ROWS = 512
 
 
 def trigram_vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -78,7 +80,7 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, rank: int =
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in text_slices(batch):
+            for part, data, offsets in text_slices(batch, rows=ROWS):
                 x = trigram_vectors(data, offsets).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([v.tobytes() for v in x], pa.binary())], ["doc_id", "label", "v"])
 
@@ -107,7 +109,7 @@ def score(docs: DataFrame, voters: Voters, keep: list[str], name: str = "score")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in text_slices(batch):
+            for part, data, offsets in text_slices(batch, rows=ROWS):
                 yield part.select(keep).append_column(name, pa.array(sent.value.score(trigram_vectors(data, offsets))))
 
     return docs.mapInArrow(vote, T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())]))
