@@ -18,8 +18,9 @@ SEPARATOR[[32, 9, 10, 11, 12, 13]] = True
 SPACE_RE = "[\\x20\\x09-\\x0D]+"
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
 
-#: Bytes of text that one numpy pass works on; temporaries are about 40 times as large.
-SLICE_BYTES = 2 << 20
+#: Bytes of text that one numpy pass works on (a longer text is a pass of its own); temporaries are about 40 times as large, and
+#: a worker keeps most of what it once took.
+SLICE_BYTES = 512 << 10
 #: Ids (8 bytes each) that may be broadcast; beyond it the same join shuffles.
 BROADCAST_IDS = 2_000_000
 

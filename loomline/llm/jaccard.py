@@ -40,6 +40,8 @@ BUCKET_BITS = 18
 ROUNDS = 1
 #: Of the tokens that two similar sets share for certain, so many must be among the rarest of each.
 FEW = 3
+#: Tokens that a matrix product of a chunk or group takes up at once, about.
+AT_ONCE = 500_000
 _SALTS = [np.uint64(x) for x in (0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -132,23 +134,38 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(make, "cls long, n long, keys array<long>, tokens binary")
 
 
-def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links among a few sets, as (index, smallest index of its component)."""
-    sizes = np.array([len(s) for s in sets])
-    token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+def token_ranges(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sets' tokens range by range, about AT_ONCE a time: as hashes they spread evenly over the ranges."""
+    n = -(-sum(map(len, sets)) // AT_ONCE)
+    cuts = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
+    at = [np.r_[0, np.searchsorted(s, cuts), len(s)] for s in sets]
+    for i in range(n):
+        yield [s[x[i] : x[i + 1]] for s, x in zip(sets, at, strict=True)]
+
+
+def _add_common(both: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Add the sizes of the sets' intersections to both."""
+    token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, often = np.unique(token, return_inverse=True, return_counts=True)
     shared = often[column] > 1
     place = np.cumsum(often > 1) - 1
     owner, column, width = owner[shared], place[column[shared]], int((often > 1).sum())
-    both = np.zeros((len(sets), len(sets)), np.float32)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     for lo in range(0, width, 8192):
         a, b = np.searchsorted(column, [lo, lo + 8192])
         block = np.zeros((len(sets), min(8192, width - lo)), np.float32)
         block[owner[a:b], column[a:b] - lo] = 1
-        both += block @ block.T
-    both = both.astype(np.int64)
+        both += (block @ block.T).astype(np.int64)
+
+
+def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links among a few sets, as (index, smallest index of its component)."""
+    sizes = np.array([len(s) for s in sets])
+    both = np.zeros((len(sets), len(sets)), np.int64)
+    for part in token_ranges(sets):
+        _add_common(both, part)
+    both[np.diag_indices(len(sets))] = sizes
     linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
     root = np.arange(len(sets))
     while True:
@@ -160,26 +177,36 @@ def link_chunk(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         root = least
 
 
-def link_blocks(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (query's index, member's index)."""
+def _add_met(both: np.ndarray, queries: list[np.ndarray], members: list[np.ndarray]) -> None:
+    """Add the sizes of the intersections of queries (rows) and members (columns) to both."""
     token, owner = np.concatenate(members), np.repeat(np.arange(len(members)), [len(m) for m in members])
-    known, column = np.unique(token, return_inverse=True)
     asked, asker = np.concatenate(queries), np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+    known, column = np.unique(token, return_inverse=True)
+    if not len(known):
+        return
     at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
     hit = known[at] == asked
     used, place = np.unique(at[hit], return_inverse=True)
+    if not len(used):
+        return
     asker = asker[hit]
     of = np.searchsorted(used, column)
-    inside = (of < len(used)) & (used[np.minimum(of, max(0, len(used) - 1))] == column) if len(used) else np.zeros(len(column), bool)
+    inside = (of < len(used)) & (used[np.minimum(of, len(used) - 1)] == column)
     owner, of = owner[inside], of[inside]
-    both = np.zeros((len(queries), len(members)), np.float32)
     for lo in range(0, len(used), 8192):
         width = min(8192, len(used) - lo)
         x, y = np.zeros((len(queries), width), np.float32), np.zeros((len(members), width), np.float32)
         here, there = (place >= lo) & (place < lo + width), (of >= lo) & (of < lo + width)
         x[asker[here], place[here] - lo] = 1
         y[owner[there], of[there] - lo] = 1
-        both += x @ y.T
+        both += (x @ y.T).astype(np.int64)
+
+
+def link_blocks(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (query's index, member's index)."""
+    both = np.zeros((len(queries), len(members)), np.int64)
+    for part in token_ranges(queries + members):
+        _add_met(both, part[: len(queries)], part[len(queries) :])
     sizes = np.array([len(q) for q in queries])[:, None] + np.array([len(m) for m in members])[None, :]
     return [(int(i), int(j)) for i, j in np.argwhere(100 * both >= percent * (sizes - both))]
 

@@ -28,7 +28,7 @@ RANK = 64
 NEIGHBOURS = 15
 SHARPNESS = 8
 #: Texts whose vectors one numpy pass makes, about 50 kB each; without it, batches of short texts would need much more.
-ROWS = 512
+ROWS = 128
 
 
 def trigram_vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
