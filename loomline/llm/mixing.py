@@ -11,12 +11,14 @@ pass. Slots find their blocks by joining on (source, index).
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomline.llm.common import WORD_RE, bounded_batches, mix, running_offset, staged
 
@@ -113,15 +115,15 @@ def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, s
     draws = lots.withColumn("draw", F.explode(F.expr(f"sequence(before + lot * {step}, before + least(draws, (lot + 1) * {step}) - 1)")))
     per_pass, full = F.expr(f"(n + {block} - 1) div {block}"), F.expr(f"n div {block}")
 
-    @F.pandas_udf("long")
-    def permute(i: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-        inside = (i < n).to_numpy()
-        out = i.to_numpy().copy()
-        out[inside] = permuted(out[inside], n.to_numpy()[inside], key.to_numpy()[inside])
-        return pd.Series(out)
+    def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index, whole, key, turn = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("index", "whole", "seed", "pass"))
+            inside, out = index < whole, index.copy()
+            out[inside] = permuted(index[inside], whole[inside], (key * 1_000_003 + turn)[inside])
+            yield batch.append_column("block", pa.array(out))
 
-    draws = draws.withColumn("pass", (F.col("draw") / per_pass).cast("long")).withColumn("index", F.col("draw") % per_pass)
-    draws = draws.withColumn("block", permute("index", full, F.col("seed") * 1_000_003 + F.col("pass")))
+    draws = draws.select("shard", "key", "n", "all", "rest", "seed", "draw", (F.col("draw") / per_pass).cast("long").alias("pass"), (F.col("draw") % per_pass).alias("index"), full.alias("whole"))
+    draws = draws.mapInArrow(permute, T.StructType([*draws.schema, T.StructField("block", T.LongType())]))
     long = F.when(F.col("block") < full, F.lit(block)).otherwise(F.col("n") % block)
     take = F.when((F.col("draw") == F.col("all") - 1) & (F.col("rest") > 0), (F.col("rest") - 1) % block + 1).otherwise(long)
     slots = draws.select("shard", F.xxhash64("seed", "draw").alias("slot"), "key", "pass", "block", take.cast("long").alias("take"))
