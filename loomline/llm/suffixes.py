@@ -87,11 +87,12 @@ _ORDERED = "left boolean, h long, words array<long>, low long, high long, reach
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each sorted row (left, h, words, low, high: least and greatest doc_id) with its longest common run of words with another document's row
-    among its neighbours; edge numbers the first and last rows of a task, whose neighbours may be with another task."""
-    rows: list[list] = []
-    before = None  # the nearest earlier row, and the one of another document before it
-    sent = 0
+    """Each sorted row (left, h, words, low, high: least and greatest doc_id) with its longest common run of words with another document's row,
+    which is with the nearest such row before or after it. edge marks what may have nearer ones with another task: the task's
+    first and last rows of one document in a row, and the row of another document next to these."""
+    done: list[list] = []  # rows whose next row of another document has come; the last of them is `behind` for the run
+    run: list[list] = []  # the latest rows, all of one document under one h
+    leading = True  # the run is the task's first
 
     def common(x: list[int], y: list[int]) -> int:
         n = 0
@@ -102,7 +103,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return n
 
     def meet(x: list, y: list) -> None:
-        if x[0] == y[0] and x[1] == y[1] and (x[3] != y[3] or x[4] != y[4]):
+        if x[0] == y[0] and x[1] == y[1]:
             n = common(x[2], y[2])
             x[5], y[5] = max(x[5], n), max(y[5], n)
 
@@ -110,34 +111,33 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), kinds, strict=True)], ["left", "h", "words", "low", "high", "reach", "edge"])
 
-    other = None
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("left", "h", "words", "low", "high")), strict=True):
-            row = [*row, len(row[2]) if row[3] != row[4] else 0, 0 if sent + len(rows) else 1]
-            if before is not None:
-                meet(before, row)
-                if before[3] == row[3] and before[4] == row[4]:  # the same document again: compare with the one before it, too
-                    if other is not None:
-                        meet(other, row)
-                else:
-                    other = before
-            before = row
-            rows.append(row)
-        if len(rows) > 4096:  # the last rows may still gain from the next ones
-            done = [r for r in rows[:-1] if r is not other]
-            rows = [r for r in rows if r is other or r is before]
-            sent += len(done)
-            yield out(done)
-    if rows:
-        rows[-1][6] = rows[-1][6] or 2
-        yield out(rows)
+            row = [*row, len(row[2]) if row[3] != row[4] else 0, int(leading)]
+            if run and (row[0], row[1], row[3], row[4]) == (run[-1][0], run[-1][1], run[-1][3], run[-1][4]):  # the same document again
+                if done:
+                    meet(done[-1], row)
+                run.append(row)
+                continue
+            for r in run:
+                meet(r, row)
+            leading = leading and not run
+            done.extend(run)
+            run = [row]
+        if len(done) > 4096:
+            yield out(done[:-1])
+            done = done[-1:]
+    for r in done[-1:] + run:
+        r[6] = 1
+    if done or run:
+        yield out(done + run)
 
 
 def extents(found: DataFrame) -> DataFrame:
     """left, h, words and reach: by how many words an occurrence's match goes on beyond its window."""
     distinct = found.groupBy("left", "h", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     ordered = staged(distinct.repartitionByRange("left", "h", "words").sortWithinPartitions("left", "h", "words").mapInArrow(_compared, _ORDERED), "compared")
-    # two rows a task at most: the neighbours that the ranges parted
+    # a task's first and last rows of one document, and one row next to them: the neighbours that the ranges parted
     edges = ordered.where("edge > 0").coalesce(1).sortWithinPartitions("left", "h", "words").select("left", "h", "words", "low", "high").mapInArrow(_compared, _ORDERED)
     return ordered.unionByName(edges).groupBy("left", "h", "words").agg(F.max("reach").alias("reach"))
 

@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -333,6 +334,47 @@ def test_repeated_passages(docs, rows, empty):
     assert suffixes.repeated_passages(empty).count() == 0
 
 
+def test_passage_twice_in_a_text(spark):
+    r, rows, want = random.Random(8), [], {}
+    for case in range(120):
+        passage = [f"p{case}_{i}" for i in range(50 + case % 20)]
+        for doc, copies in ((2 * case, 2), (2 * case + 1, 1)):
+            text = []
+            for _ in range(copies):
+                text += [f"w{r.random()}" for _ in range(30)]
+                want[doc, len(text)] = len(text) + len(passage)
+                text += passage
+            rows.append((doc, " ".join([*text, f"end{doc}"])))
+    got = suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x["doc_id"], x["start_word"]): x["end_word"] for x in got} == want and len(got) == len(want)
+
+
+def test_neighbours_of_other_documents_over_task_edges():
+    r = random.Random(3)
+
+    def compared(rows):
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64())
+        batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["left", "h", "words", "low", "high"])
+        return [tuple(x.values()) for part in suffixes._compared(iter([batch])) for x in part.to_pylist()]
+
+    def common(x, y):
+        return next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+
+    for _ in range(300):
+        distinct = {(False, r.randrange(2), tuple(r.choices((1, 2), k=r.randint(0, 6)))): r.choice([(1, 1), (1, 1), (1, 1), (2, 2), (1, 2)]) for _ in range(12)}
+        rows = [(a, h, list(w), *distinct[a, h, w]) for a, h, w in sorted(distinct)]
+        cuts = [0, *sorted(r.choices(range(len(rows) + 1), k=3)), len(rows)]
+        found = [x for a, b in itertools.pairwise(cuts) for x in compared(rows[a:b])]
+        found += compared([list(x[:5]) for x in found if x[6]])
+        got = collections.defaultdict(int)
+        for a, h, w, _, _, reach, _ in found:
+            got[a, h, tuple(w)] = max(got[a, h, tuple(w)], reach)
+        for a, h, w, low, high in rows:
+            others = [common(w, y[2]) for y in rows if y[1] == h and y[3:] != (low, high)]
+            assert got[a, h, tuple(w)] == (len(w) if low != high else max(others, default=0))
+
+
 def test_exact_dedup(docs, rows, empty):
     got = exact_dedup.exact_duplicates(docs).collect()
     groups = collections.defaultdict(list)
