@@ -4,9 +4,10 @@ Suffixes are kept only at minimiser positions: of every STEP windows of WINDOW w
 hash. The choice depends on the words alone, so any passage of WINDOW + STEP - 1 = 50 words or more that two
 documents share has a chosen suffix in both, with at least WINDOW equal words to its right. Suffixes are
 grouped by their first WINDOW words; those of two documents or more are repeats. Within a document, overlapping
-repeats are one stretch, whose ends are then extended: the words left of the first suffix and right of the last are sorted
-among all suffixes with the same WINDOW words, and neighbours in that order are compared, as the longest common
-run of words is always with a neighbour. A stretch counts when it has LEAST words or more in the end.
+repeats are one stretch, whose ends are then extended: the words left of the first suffixes and right of the last, of all within
+REACH words of the end, are sorted among all suffixes with the same WINDOW words, and each is compared with the nearest ones of another
+document in that order, as the longest common run of words is always with one of these. The furthest extension counts, as documents that share
+one suffix needn't share the next. A stretch counts when it has LEAST words or more in the end.
 """
 
 from __future__ import annotations
@@ -155,20 +156,21 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spots = staged(chosen.join(shared, "h").distinct(), "spots")
     order = Window.partitionBy("doc_id").orderBy("pos")
     new = F.coalesce(F.col("pos") > F.lag("pos").over(order) + WINDOW, F.lit(True)).cast("int")
-    runs = spots.withColumn("new", new).withColumn("run", F.sum("new").over(order))
-    first, last = F.min(F.struct("pos", "h")), F.max(F.struct("pos", "h"))
-    runs = staged(runs.groupBy("doc_id", "run").agg(first.alias("first"), last.alias("last")), "runs")
-
-    ends = runs.select(F.col("first.h").alias("h"), F.lit(True).alias("left")).unionByName(runs.select(F.col("last.h").alias("h"), F.lit(False).alias("left"))).distinct()
+    whole = Window.partitionBy("doc_id", "run")
+    runs = spots.withColumn("new", new).withColumn("run", F.sum("new").over(order)).withColumn("p1", F.min("pos").over(whole)).withColumn("p2", F.max("pos").over(whole))
+    # what lies REACH words or more inside can't reach beyond the outermost windows
+    first, last = F.col("pos") == F.col("p1"), F.col("pos") == F.col("p2")
+    left, right = first | (F.col("pos") < F.col("p1") + REACH), last | (F.col("pos") > F.col("p2") - REACH)
+    near = staged(runs.where(left | right).select("doc_id", "pos", "h", "p1", "p2"), "near-ends")
+
+    ends = near.where(left).select("h", F.lit(True).alias("left")).unionByName(near.where(right).select("h", F.lit(False).alias("left"))).distinct()
     asked = staged(spots.join(ends, "h").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "left")).alias("spots")), "asked")
     live = with_known_ids(base, asked.select("doc_id"), asked.count())  # ids alone are broadcast; the spots, which grow with the texts, are not
     found = staged(contexts(live.join(asked, "doc_id").select("doc_id", "text", "spots")), "contexts")
     reach = staged(extents(found).select("left", "h", F.xxhash64("words").alias("key"), "reach"), "reach")
     at = found.select("doc_id", "pos", "left", "h", F.xxhash64("words").alias("key")).join(reach, ["left", "h", "key"])
-    at = staged(at.groupBy("doc_id", "pos", "left").agg(F.max("reach").alias("reach")), "reached")
-    before = at.where("left").select("doc_id", F.col("pos").alias("p1"), F.col("reach").alias("r1"))
-    after = at.where("NOT left").select("doc_id", F.col("pos").alias("p2"), F.col("reach").alias("r2"))
-    runs = runs.select("doc_id", F.col("first.pos").alias("p1"), F.col("last.pos").alias("p2")).join(before, ["doc_id", "p1"], "left").join(after, ["doc_id", "p2"], "left")
-    start = (F.col("p1") - F.coalesce("r1", F.lit(0))).alias("start_word")
-    end = (F.col("p2") + WINDOW + F.coalesce("r2", F.lit(0))).alias("end_word")
-    return runs.select("doc_id", start.cast("long").alias("start_word"), end.cast("long").alias("end_word")).withColumn("n_words", F.col("end_word") - F.col("start_word")).where(f"n_words >= {LEAST}")
+    at = staged(at.groupBy("doc_id", "pos").agg(F.max(F.when(F.col("left"), F.col("reach"))).alias("r1"), F.max(F.when(~F.col("left"), F.col("reach"))).alias("r2")), "reached")
+    start = F.min(F.col("pos") - F.coalesce("r1", F.lit(0)))
+    end = F.max(F.col("pos") + WINDOW + F.coalesce("r2", F.lit(0)))
+    found = near.join(at, ["doc_id", "pos"], "left").groupBy("doc_id", "p1").agg(start.cast("long").alias("start_word"), end.cast("long").alias("end_word"))
+    return found.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words")).where(f"n_words >= {LEAST}")

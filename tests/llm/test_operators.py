@@ -349,6 +349,22 @@ def test_passage_twice_in_a_text(spark):
     assert {(x["doc_id"], x["start_word"]): x["end_word"] for x in got} == want and len(got) == len(want)
 
 
+def test_near_copies_of_a_passage(spark):
+    r, rows, want = random.Random(9), [], set()
+    for case in range(60):
+        passage = [f"p{case}_{i}" for i in range(50 + case % 16)]
+        for copy in range(8):
+            doc, own = 10 * case + copy, list(passage)
+            if copy > 1:
+                own[r.choice([r.randrange(6), len(own) - 1 - r.randrange(6)])] = f"edit{doc}"
+            else:
+                want |= {(doc, 40 + i) for i in range(len(own))}
+            rows.append((doc, " ".join([*(f"a{doc}_{i}" for i in range(40)), *own, *(f"b{doc}_{i}" for i in range(40))])))
+    got = suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {(x["doc_id"], i) for x in got for i in range(x["start_word"], x["end_word"])}
+    assert want <= spans and all(40 <= x["start_word"] and x["end_word"] <= 40 + 50 + x["doc_id"] // 10 % 16 for x in got)
+
+
 def test_neighbours_of_other_documents_over_task_edges():
     r = random.Random(3)
 
