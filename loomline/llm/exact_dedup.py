@@ -138,11 +138,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Rows are told by doc_id; where an id has rows that stay and rows that go, or is null, by the text as well.
     """
     found = staged(exact_duplicates(docs), "exact")
-    gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    stay = found.where("kept AND group_size > 1").select("doc_id", "text_sha256").distinct()
-    both = staged(gone.join(stay, "doc_id", "left_semi"), "ids-that-repeat")
-    gone = staged(gone.join(both, "doc_id", "left_anti"), "gone")
+    gone = staged(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "ids-with-copies")
     small = gone.count() <= BROADCAST_IDS
+    both = staged(found.where("kept").join(F.broadcast(gone) if small else gone, "doc_id", "left_semi").select("doc_id").distinct(), "ids-that-repeat")
+    gone = staged(gone.join(both, "doc_id", "left_anti"), "gone")
     out = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
     if both.isEmpty() and found.where("doc_id IS NULL").isEmpty():
         return out.select(*docs.columns)

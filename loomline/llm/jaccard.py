@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomline.llm.common import BROADCAST_IDS, id_and_text, lower_ascii, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
 from loomline.llm.graph import components
@@ -318,6 +319,17 @@ def rarest(held: DataFrame, percent: int) -> DataFrame:
     return ordered.withColumn("tokens", F.slice("tokens", F.lit(1), F.expr(f"cast(size(tokens) - {least_overlap('n', percent)} + {few('n', percent)} AS int)")))
 
 
+def with_class(docs: DataFrame, words: int) -> DataFrame:
+    """docs with the class of each row's set (its hash) as _cls."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in text_slices(batch):
+                yield part.append_column("_cls", pa.array([_set_key(s) for s in shingle_sets(data, offsets, words)], pa.int64()))
+
+    return docs.mapInArrow(add, T.StructType([*docs.schema, T.StructField("_cls", T.LongType())]))
+
+
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: documents link when 100 * intersection >= percent * union of their shingle sets.
 
@@ -325,6 +337,11 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     doc_id. A row with a null doc_id belongs to the component of the rows with the same set, or has null. Repeated rows
     come out as often as they came in; an empty table gives an empty result.
     """
+    return class_components(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """similar_components(), with the class of each row's set, cls, and one class of its component for all rows of it, root."""
     base = id_and_text(docs)
     table = staged(prefixes(base, words, percent, bucket_levels(base, words)), "prefixes")
     classes = staged(table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc")), "classes")
@@ -361,22 +378,26 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     joined = roots.select(F.col("node").alias("cls"), "root").unionByName(roots.select(F.col("root").alias("cls"), "root").distinct())
     joined = staged(joined.join(classes.select("cls", "first_doc"), "cls"), "joined")
     least = staged(joined.groupBy("root").agg(F.min("first_doc").alias("component")), "least")
-    named = staged(joined.join(least, "root").select("cls", "component"), "named")
-    final = staged(classes.join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id")), "components")
-    return table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = staged(joined.join(least, "root").select("cls", "component", "root"), "named")
+    final = staged(classes.join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id"), F.coalesce("root", "cls").alias("root")), "components")
+    return table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
 
 
 def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component of similar_components(): that with its smallest doc_id. All columns stay.
 
-    Rows without words link with nothing and stay, as do rows with a null doc_id, which no id can name; of repeated ids one row stays.
+    Rows without words link with nothing and stay, as do rows with a null doc_id, which no id can name. Where an id repeats, each of its
+    rows is told by its set as well; of rows with one id and one set one stays.
     """
-    found = staged(similar_components(docs, words, percent), "similar")
+    found = staged(class_components(docs, words, percent), "similar")
     gone = staged(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+    out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
     again = staged(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"), "ids-that-repeat")
-    unknown = out.where("doc_id IS NULL")
-    known = out.where("doc_id IS NOT NULL")
-    if not again.isEmpty():
-        known = known.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(known.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
-    return known.select(*docs.columns).unionByName(unknown.select(*docs.columns))
+    if again.isEmpty():
+        return out
+    told = found.join(again, "doc_id", "left_semi")
+    stay = told.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id", "root").agg(F.min("cls").alias("_cls")).select("doc_id", "_cls")
+    stay = stay.unionByName(told.where("n_shingles = 0").select("doc_id", F.col("cls").alias("_cls"))).distinct()
+    rows = with_class(docs.join(again, "doc_id", "left_semi").select(*docs.columns), words)
+    one = rows.join(stay, ["doc_id", "_cls"], "left_semi").dropDuplicates(["doc_id", "_cls"])
+    return out.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

@@ -424,3 +424,17 @@ def test_fingerprints_compose():
     for b in text.tolist():
         whole = (whole * exact_dedup.BASES[0] + b) % exact_dedup.PRIMES[0]
     assert exact_dedup.fingerprint(text, chunk=64)[0] == whole
+
+
+def test_repeated_ids_keep_other_texts(spark):
+    r = random.Random(2)
+    a, b, c = (" ".join(f"{x}{r.random()}" for _ in range(60)) for x in "abc")
+    near = a + " more"
+    copied = spark.createDataFrame([(1, a), (5, a), (5, b), (6, b), (7, c)], "doc_id long, text string")
+    assert sorted(map(tuple, exact_dedup.deduplicated(copied).collect())) == sorted([(1, a), (5, b), (7, c)])
+    unique = spark.createDataFrame([(1, a), (5, a), (5, b)], "doc_id long, text string")
+    assert sorted(map(tuple, exact_dedup.deduplicated(unique).collect())) == sorted([(1, a), (5, b)])
+    alike = spark.createDataFrame([(1, a), (5, near), (5, b), (5, c), (6, c + " more"), (6, ""), (7, b)], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.one_per_component(alike).collect())) == sorted([(1, a), (5, b), (5, c), (6, "")])
+    linked = spark.createDataFrame([(5, a), (5, near), (5, a), (7, b)], "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in jaccard.one_per_component(linked).collect()) == [5, 7]
