@@ -45,7 +45,9 @@ def trigram_vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = np.sqrt(counts, dtype=np.float32)
     starts, ends, first = spans(data, offsets)
     words = span_hashes(data, starts, ends)
-    again = np.r_[0, np.cumsum(np.r_[False, words[1:] == words[:-1]][: len(words)])]
+    same = np.r_[False, words[1:] == words[:-1]][: len(words)]
+    same[first[:-1][np.diff(first) > 0]] = False  # a row's first word has none before it
+    again = np.r_[0, np.cumsum(same)]
     share = (again[first[1:]] - again[first[:-1]]) / np.maximum(np.diff(first), 1)
     return np.column_stack([out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9), np.sqrt(share, dtype=np.float32)]).astype(np.float32)
 

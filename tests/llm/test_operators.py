@@ -438,3 +438,11 @@ def test_repeated_ids_keep_other_texts(spark):
     assert sorted(map(tuple, jaccard.one_per_component(alike).collect())) == sorted([(1, a), (5, b), (5, c), (6, "")])
     linked = spark.createDataFrame([(5, a), (5, near), (5, a), (7, b)], "doc_id long, text string")
     assert sorted(x["doc_id"] for x in jaccard.one_per_component(linked).collect()) == [5, 7]
+
+
+def test_quality_vectors_know_no_neighbours():
+    def vectors(texts):
+        return quality.trigram_vectors(np.frombuffer("".join(texts).encode(), np.uint8), np.r_[0, np.cumsum([len(x) for x in texts])])
+
+    texts = ["one", "one", "", "one", "one two two", "two", "two two", "   ", "two", ""]
+    assert np.array_equal(vectors(texts), np.concatenate([vectors([x]) for x in texts]))
