@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: staged tables, distributed offsets, hashing of text in numpy."""
+"""Helpers shared by the corpus operators: staged tables, distributed offsets, words and their hashes in numpy."""
 
 from __future__ import annotations
 
@@ -74,13 +74,16 @@ def running_offset(table: DataFrame, keys: list[str], order: list[str], out: str
     rows = table.count() if rows is None else rows
     buckets = max(8, rows // 250_000)
     v = F.col(value).cast("long") if value else F.lit(1).cast("long")
-    table = table.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    totals = table.groupBy(*keys, "_b").agg(F.sum(v).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = table.withColumn("_in", F.coalesce(F.sum(v).over(within), F.lit(0)))
-    return counted.join(starts, [*keys, "_b"]).withColumn(out, F.col("_start") + F.col("_in")).drop("_b", "_in", "_start")
+    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
+    by, sort = [f"k{i}" for i in range(len(keys))], [f"o{i}" for i in range(len(order))]
+    # the row is one struct, so that its columns' names clash with none of these
+    table = table.select(F.struct(*table.columns).alias("row"), v.alias("v"), bucket.alias("b"), *[F.col(k).alias(n) for k, n in zip(keys, by, strict=True)], *[F.col(c).alias(n) for c, n in zip(order, sort, strict=True)])
+    totals = table.groupBy(*by, "b").agg(F.sum("v").alias("n"))
+    before = Window.partitionBy(*by).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*by, "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy(*by, "b").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
+    counted = table.withColumn("in", F.coalesce(F.sum("v").over(within), F.lit(0)))
+    return counted.join(starts, [*by, "b"]).select("row.*", (F.col("start") + F.col("in")).alias(out))
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -120,37 +123,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0x9FB21C651E98DF25
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_FIRST_BYTES = np.array([0] + [(1 << 8 * n) - 1 for n in range(1, 9)], np.uint64)
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of an odd number modulo 2^64 and of its inverse, n or more of each."""
-    if len(_POWERS[0]) < n:
-        n = max(n, 1 << 16)
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _POWERS[i] = np.multiply.accumulate(x)
-    return _POWERS
-
-
-def _range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two hashes in this order."""
+    return mix(a * np.uint64(0x9FB21C651E98DF25) + b)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, by differences of one running polynomial sum."""
-    return _range_hash(_BYTES[data], starts, ends)
+    """A 64-bit hash of each span of bytes: eight bytes at a time, mixed with their place and added up, and mixed again with the length.
 
-
-def window_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each range of words, given the words' hashes."""
-    return _range_hash(mix(words + np.uint64(0x632BE59BD9B4E019)), starts, ends)
+    Spans of one length of up to eight bytes never share a hash.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))  # the eight bytes from each byte on
+    length = (ends - starts).astype(np.int64)
+    parts = np.maximum(1, (length + 7) >> 3)
+    first = np.cumsum(parts) - parts
+    k = np.arange(len(first) and first[-1] + parts[-1]) - np.repeat(first, parts)
+    at = np.repeat(starts, parts) + 8 * k
+    x = eights[at] & _FIRST_BYTES[np.minimum(8, np.repeat(length, parts) - 8 * k)]
+    return mix(np.add.reduceat(mix(x + (k + 1).astype(np.uint64) * _GOLDEN), first) + length.astype(np.uint64))
+
+
+def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of the n words from each word on, given the words' hashes: windows of 1, 2, 4, ... words, and at the end
+    the two of these that make up n words. Empty where there are fewer words."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
+    wide, out = 1, mix(words + _GOLDEN)
+    while 2 * wide <= n:
+        out = joined(out[:-wide], out[wide:])
+        wide *= 2
+    return joined(out[: len(words) - n + 1], out[n - wide :])
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -170,28 +178,8 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
 
 
-class Memo:
-    """A bounded map from 64-bit hashes to short rows of numbers, as sorted arrays; it starts anew when full."""
-
-    def __init__(self, most: int = 1_500_000):
-        self.most = most
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys, self.starts, self.lengths, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint16)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each key its index, and whether it is there."""
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
-
-    def add(self, keys: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> None:
-        """keys: sorted, and none of them known."""
-        if len(self.keys) + len(keys) > self.most:
-            self.clear()
-        starts = np.cumsum(lengths) - lengths + len(self.flat)
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.starts = np.insert(self.starts, at, starts.astype(np.int32))
-        self.lengths = np.insert(self.lengths, at, lengths.astype(np.int32))
-        self.flat = np.concatenate([self.flat, flat.astype(np.uint16)])
+def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans as a binary Arrow array."""
+    lengths = ends - starts
+    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[ragged(starts, lengths)]))])

@@ -51,13 +51,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     data = lower_ascii(data)
     starts, ends, first = spans(data, offsets)
     hashes = span_hashes(data, starts, ends)
-    count = np.diff(first)
-    last = np.repeat(first[1:], np.maximum(0, np.minimum(count, np.maximum(1, count - words + 1))))
-    per_row = np.where(count == 0, 0, np.maximum(1, count - words + 1))
-    cuts = np.r_[0, np.cumsum(per_row)]
-    begin = np.arange(cuts[-1]) + np.repeat(first[:-1] - cuts[:-1], per_row)
-    shingles = window_hashes(hashes, begin, np.minimum(begin + words, last))
-    return [np.unique(shingles[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    shingles = window_hashes(hashes, words)
+    short = {n: window_hashes(hashes, n) for n in range(1, words)}
+    return [np.unique(shingles[a : b - words + 1]) if b - a >= words else short[b - a][a : a + 1] if b > a else np.zeros(0, np.uint64) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 def _set_key(s: np.ndarray) -> int:

@@ -5,6 +5,8 @@ is proven such by encoding it; these words are counted as one token where they s
 a slice are merged by the library. A word here is a run of spaces with the letters after it. No vocabulary string
 has a space mark after another character (checked on loading), so no merge can cross the start of such a run and
 the counts of the words add up to the count of the text.
+
+Words are told apart by their bytes, never by hashes.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loomline.llm.common import Memo, id_and_text, mix, ragged, span_hashes, spans, text_slices
+from loomline.llm.common import id_and_text, ragged, spans, text_slices, word_array
 
 MARK = "▁"
+#: Distinct words whose counts or ids a worker keeps between slices; when there are more it starts anew.
+KEPT_WORDS = 250_000
 _ONLY_SPACE = np.zeros(256, dtype=bool)
 _ONLY_SPACE[32] = True
 
@@ -33,28 +37,29 @@ def _pieces(path: str):
 
 
 @lru_cache(maxsize=2)
-def whole_tokens(path: str) -> np.ndarray:
-    """Hashes of the words that encode alone as one token, sorted; raises if words can't be counted one by one."""
+def whole_tokens(path: str) -> frozenset[bytes]:
+    """The words that encode alone as one token; raises if words can't be counted one by one."""
     model = _pieces(path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     if any(MARK in p.lstrip(MARK) for p in pieces):
         raise ValueError("a vocabulary string goes across a space; words of this model can't be counted one by one")
     words = [p[1:] for p in pieces if p.startswith(MARK) and len(p) > 1 and MARK not in p[1:] and " " not in p]
-    words = [w for w, ids in zip(words, model.encode(words, num_threads=1), strict=True) if len(ids) == 1]
-    data = np.frombuffer("".join(words).encode(), np.uint8)
-    ends = np.cumsum([len(w.encode()) for w in words])
-    return np.sort(span_hashes(data, np.r_[0, ends[:-1]], ends))
+    return frozenset(w.encode() for w, ids in zip(words, model.encode(words, num_threads=1), strict=True) if len(ids) == 1)
+
 
+_counts: dict[str, dict[bytes, int]] = {}
 
-_counts: dict[str, Memo] = {}
 
+def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct spans, and for each span the index of its own."""
+    coded = word_array(data, starts, ends).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
 
-def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: np.ndarray) -> np.ndarray:
+
+def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: frozenset[bytes]) -> np.ndarray:
     """Tokens of each row."""
     model = _pieces(path)
-    if path not in _counts:
-        _counts[path] = Memo()
-    memo = _counts[path]
+    memo = _counts.setdefault(path, {})
     starts, ends, first = spans(data, offsets, _ONLY_SPACE)
     total = np.zeros(len(offsets) - 1, np.int64)
     before = np.r_[0, ends[:-1]] if len(ends) else ends
@@ -63,23 +68,12 @@ def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: np.nd
     leads = np.zeros(len(starts), bool)
     leads[first[:-1][first[:-1] < first[1:]]] = True
     extra = np.where(leads, spaces, spaces - 1)  # the library itself puts one space in front
-    keys = span_hashes(data, starts, ends)
-    keys = np.where(extra > 0, mix(keys + extra.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), keys)
-    distinct, example, back = np.unique(keys, return_index=True, return_inverse=True)
-    n = np.zeros(len(distinct), np.int64)
-    if len(whole):
-        n[whole[np.minimum(np.searchsorted(whole, distinct), len(whole) - 1)] == distinct] = 1
-    rest = np.flatnonzero(n == 0)
-    at, known = memo.find(distinct[rest])
-    if known.any():
-        n[rest[known]] = memo.flat[memo.starts[at[known]]]
-    rest = rest[~known]
-    if len(rest):
-        raw = data.tobytes()
-        texts = [" " * int(extra[i]) + raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in example[rest]]
-        n[rest] = [len(x) for x in model.encode(texts, num_threads=1)]
-        small = rest[n[rest] < 65536]
-        memo.add(distinct[small], np.ones(len(small), np.int64), n[small])
+    words, back = _distinct(data, starts - extra, ends)
+    if len(memo) + len(words) > KEPT_WORDS:
+        memo.clear()
+    if new := [w for w in words if w not in whole and w not in memo]:
+        memo.update(zip(new, map(len, model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)), strict=True))
+    n = np.fromiter((1 if w in whole else memo[w] for w in words), np.int64, len(words))
     sums = np.r_[0, np.cumsum(n[back])]
     total += sums[first[1:]] - sums[first[:-1]]
     mark = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)) if len(data) > 2 else []
@@ -95,7 +89,7 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     """doc_id, n_bytes, n_tokens, over_limit of every whole text, as the sentencepiece model at model_path counts.
 
     Null or empty text: 0 tokens. Rows are taken one by one, so repeated rows come out as often as they came in;
-    a null doc_id stays null. Words are told apart by 64-bit hashes.
+    a null doc_id stays null. An empty table gives an empty result.
     """
     whole = whole_tokens(model_path)
 
@@ -151,30 +145,24 @@ def word_encoder(path: str) -> Callable[[str], list[int]]:
     return encode
 
 
-_ids: dict[str, Memo] = {}
+_ids: dict[str, dict[bytes, bytes]] = {}
 
 
 def encode_ids(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows in one array (uint16: for vocabularies of up to 65,536), and the offsets of the rows in it."""
+    """Ids of all rows in one array (uint32), and the offsets of the rows in it."""
     encode = word_encoder(path)
-    if path not in _ids:
-        _ids[path] = Memo()
-    memo = _ids[path]
+    memo = _ids.setdefault(path, {})
     starts, ends, first = spans(data, offsets)
-    distinct, example, back = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    if len(memo.keys) + len(distinct) > memo.most:
+    words, back = _distinct(data, starts, ends)
+    if len(memo) + len(words) > KEPT_WORDS:
         memo.clear()
-    _, known = memo.find(distinct)
-    new = np.flatnonzero(~known)
-    if len(new):
-        raw = data.tobytes()
-        lists = [encode(raw[starts[i] : ends[i]].decode("utf-8", "replace")) for i in example[new]]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        memo.add(distinct[new], lengths, np.fromiter((x for ids in lists for x in ids), np.uint16, int(lengths.sum())))
-    at, _ = memo.find(distinct)
-    at = at[back]
-    lengths = memo.lengths[at].astype(np.int64)
-    ids = memo.flat[ragged(memo.starts[at].astype(np.int64), lengths)]
+    for w in words:
+        if w not in memo:
+            memo[w] = np.array(encode(w.decode("utf-8", "replace")), "<u4").tobytes()
+    lists = [memo[w] for w in words]
+    of_word = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+    lengths = of_word[back]
+    ids = np.frombuffer(b"".join(lists), "<u4")[ragged((np.cumsum(of_word) - of_word)[back], lengths)]
     return ids, np.r_[0, np.cumsum(lengths)][first]
 
 
