@@ -13,9 +13,7 @@ image of 16 x 16 pixel units, its height first; a comment holds their number.
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -454,40 +452,56 @@ def stored_texts(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).mapInArrow(store, "doc_id long, n_bytes long, media binary")
 
 
-def rgb_tensors(media: DataFrame) -> DataFrame:
-    """height, width and rgb (bytes, row by row) beside doc_id, of a column media of progressive files; null stays null."""
+def decoded(media: DataFrame) -> DataFrame:
+    """media (doc_id, n_bytes, media: progressive files) with payload (the bytes that store_payload put in, null in other files), height, width and rgb: the
+    full-resolution tensor's unsigned bytes, row by row, three a pixel. Null media give nulls; equal files equal rows."""
+    columns = ["doc_id", "n_bytes", "media"]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary()]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 data = batch.column("media")[i].as_py()
-                x = None if data is None else read_progressive(data).tensor()
-                values = (None, None, None) if x is None else (x.shape[0], x.shape[1], x.tobytes())
-                columns = [pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.int32(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, 1), *columns], ["doc_id", "height", "width", "rgb"])
+                values: tuple = (None, None, None, None)
+                if data is not None:
+                    image = read_progressive(data)
+                    payload = payload_of(image).tobytes() if image.comment.startswith(b"blocks=") else None
+                    values = (payload, image.height, image.width, image.tensor().tobytes())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in columns), *(pa.array([v], t) for v, t in zip(values, kinds, strict=True))], [*columns, "payload", "height", "width", "rgb"])
 
-    return media.select("doc_id", "media").mapInArrow(decode, "doc_id long, height int, width int, rgb binary")
+    return media.select(*columns).mapInArrow(decode, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary")
 
 
-def media_features(media: DataFrame) -> DataFrame:
-    """Read stored texts back: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
+def channel_means(tensors: DataFrame) -> DataFrame:
+    """tensors (as from decoded) with feature, the image's size and the means of the RGB tensor's channels, in place of rgb; null where rgb is."""
+    keep = ["doc_id", "n_bytes", "media", "payload"]
 
-    feature is the image's size and the means of the RGB tensor's channels. Equal texts give equal values; an empty table an empty result.
-    """
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, n, data in zip(batch.column("doc_id").to_pylist(), batch.column("n_bytes").to_pylist(), batch.column("media"), strict=True):
-                data = data.as_py()
-                image = read_progressive(data)
-                payload = payload_of(image).tobytes()
-                rgb = image.tensor()
-                means = [int(rgb[:, :, i].sum(dtype=np.int64)) / (rgb.size // 3) for i in range(3)]
-                rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(data), hashlib.sha256(data).hexdigest(), f"{image.height}x{image.width} rgb " + " ".join(f"{m:.3f}" for m in means)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-    return media.select("doc_id", "n_bytes", F.col("media")).mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+            out = []
+            for high, wide, rgb in zip(batch.column("height").to_pylist(), batch.column("width").to_pylist(), batch.column("rgb"), strict=True):
+                if high is None:
+                    out.append(None)
+                    continue
+                sums = np.frombuffer(rgb.as_buffer(), np.uint8).reshape(-1, 3).sum(axis=0, dtype=np.int64)
+                out.append(f"{high}x{wide} rgb " + " ".join(f"{int(x) / (high * wide):.3f}" for x in sums))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "feature"])
+
+    return tensors.mapInArrow(add, "doc_id long, n_bytes long, media binary, payload binary, feature string")
+
+
+def media_features(tensors: DataFrame) -> DataFrame:
+    """Digests of decoded(): doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature (see channel_means).
+
+    Equal texts give equal values; an empty table an empty result.
+    """
+    return channel_means(tensors).select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -BLOCK, BLOCK)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
