@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from loomline.llm.common import WORD_RE, bounded_batches, mix, running_offset, staged
 
 WEIGHTS = (5, 2, 1)
+#: Sources that the driver plans for, a row each and one for each output shard; more raise an error before anything is gathered.
+MOST_SOURCES = 10_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: float = 3) -> dict[str | None, float]:
@@ -94,10 +96,13 @@ def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, s
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_RE)), F.lit(0)).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
     rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), key.alias("key"), size.alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"), *([F.struct(*docs.columns).alias("doc")] if carry else [])), "sized")
-    found = {r["key"]: (r["n"], r["rows"]) for r in rows.groupBy("key").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
+    sums = rows.groupBy("key").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MOST_SOURCES + 1).collect()
+    if len(sums) > MOST_SOURCES:
+        raise ValueError(f"over {MOST_SOURCES} sources: group them before mixing")
+    found = {r["key"]: (r["n"], r["rows"]) for r in sums}
     want = targets({k[1:] if k else None: n for k, (n, _) in found.items()}, weights)
     sources = {k: (n, want[k[1:] if k else None]) for k, (n, _) in found.items()}
-    narrow = running_offset(rows.select("row", "doc_id", "key", "size", "crc"), ["key"], ["doc_id", "size", "crc"], "start", value="size", rows=sum(n for _, n in found.values()))
+    narrow = running_offset(rows.select("row", "doc_id", "source", "key", "size", "crc"), ["key"], ["doc_id", "size", "crc"], "start", value="size", rows=sum(n for _, n in found.values()))
 
     names = sorted(k for k, (n, t) in sources.items() if round(t) > 0)
     plan = []
@@ -127,17 +132,20 @@ def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, s
     long = F.when(F.col("block") < full, F.lit(block)).otherwise(F.col("n") % block)
     take = F.when((F.col("draw") == F.col("all") - 1) & (F.col("rest") > 0), (F.col("rest") - 1) % block + 1).otherwise(long)
     slots = draws.select("shard", F.xxhash64("seed", "draw").alias("slot"), "key", "pass", "block", take.cast("long").alias("take"))
-    return Mix(narrow.join(rows.drop("doc_id", "key", "size", "crc"), "row") if carry else narrow.join(rows.select("row", "source"), "row"), sources, slots, block)
+    # by sorting both sides: the rows' columns grow with the corpus, however small their file looks
+    full = narrow.join(rows.select("row", "doc").hint("merge"), "row") if carry else narrow
+    return Mix(full, sources, slots, block)
 
 
 def taken_pieces(mix: Mix) -> DataFrame:
-    """row, pass, block, from_word, to_word: what each slot takes of each document, in words of that document. Blocks join by index."""
+    """shard, slot, row, pass, block, from_word, to_word: what each slot of each output shard takes of each document, in words of that document.
+    Blocks join by index."""
     b = mix.block
     pieces = mix.rows.where("size > 0").select("row", "key", "start", "size", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
-    met = pieces.join(mix.slots.select("key", "block", "pass", "take"), ["key", "block"])
+    met = pieces.join(mix.slots.select("shard", "slot", "key", "block", "pass", "take"), ["key", "block"])
     origin = F.col("block") * b
     first, last = F.greatest(F.col("start"), origin), F.least(F.col("start") + F.col("size"), origin + F.col("take"))
-    return met.where(last > first).select("row", "pass", "block", (first - F.col("start")).alias("from_word"), (last - F.col("start")).alias("to_word"))
+    return met.where(last > first).select("shard", "slot", "row", "pass", "block", (first - F.col("start")).alias("from_word"), (last - F.col("start")).alias("to_word"))
 
 
 def mix_sources(docs: DataFrame, block: int = 512, shards: int = 64, seed: int = 7, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
@@ -145,7 +153,7 @@ def mix_sources(docs: DataFrame, block: int = 512, shards: int = 64, seed: int =
 
     size is the text's words (null: 0), target the source's, taken the words of the document that the mix takes, repeats
     counted. Null is a source of its own, after the others. Documents without words are never taken. Repeated rows are rows like
-    others. An empty table gives an empty result. The same table gives the same mix.
+    others. An empty table gives an empty result. The same table gives the same mix. Over MOST_SOURCES sources raise an error.
     """
     mix = plan_mix(docs, False, block, shards, seed, weights)
     taken = taken_pieces(mix).groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
