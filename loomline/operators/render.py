@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,26 +114,51 @@ def by_tool(make) -> Column:
     return out.otherwise(make("other") if make is output else F.concat("tool_name", F.lit(": done.")))
 
 
-def system_prompt() -> Column:
-    bullets = "\n".join(f"  - {name}: {', '.join(a[0] for a in t) or 'no arguments'}" for name, _, _, _, t in dimensions.TOOLS)
-    head = F.concat(F.lit(f"You are a command-line assistant with {len(dimensions.TOOLS)} tools. Language: "), "language", F.lit(", tone: "), "tone", F.lit(", formality: "), "formality")
+def system_prompt(num_tools: int = len(dimensions.TOOLS)) -> Column:
+    """The prompt of a row's locale: a line for each tool with what it does and what it takes."""
+    bullets = "\n".join(f"  - {name}: {dimensions.DESCRIPTIONS[name]} ({', '.join(a[0] for a in t) or 'no arguments'})" for name, _, _, _, t in dimensions.TOOLS)
+    head = F.concat(F.lit(f"You are a command-line assistant with {num_tools} tools. Language: "), "language", F.lit(", tone: "), "tone", F.lit(", formality: "), "formality")
     return F.concat(head, F.lit(f". Call a tool when one fits.\nTools:\n{bullets}"))
 
 
-def tool_schemas() -> list[dict]:
-    """The function-calling form of the registry; the same for every row, so it is a literal at the sink."""
-    return [{"type": "function", "function": {"name": name, "description": f"{name} ({category})", "parameters": {"type": "object", "properties": {a: {"type": t, "description": a.replace("_", " ")} for a, t, _ in arguments}, "required": [a for a, _, r in arguments if r]}}} for name, category, _, _, arguments in dimensions.TOOLS]
+def function_schemas(tools: DataFrame) -> DataFrame:
+    """pos, tool_name, schema: the function-calling form of registry rows (see dimensions.tools), properties and required names in the arguments' order.
+
+    Defaults and causes don't reach this form."""
+    arguments = F.col("arguments")
+    properties = F.map_from_entries(F.transform(arguments, lambda a: F.struct(a["name"].alias("key"), F.struct(a["type"].alias("type"), a["description"].alias("description"), F.lit(None).cast("array<string>").alias("enum")).alias("value"))))
+    required = F.transform(F.filter(arguments, lambda a: a["required"]), lambda a: a["name"])
+    parameters = F.struct(F.lit("object").alias("type"), properties.alias("properties"), required.alias("required"))
+    schema = F.struct(F.lit("function").alias("type"), F.struct(F.col("tool_name").alias("name"), "description", parameters.alias("parameters")).alias("function"))
+    return tools.select("pos", "tool_name", schema.alias("schema"))
+
+
+def message_texts(rows: DataFrame, difficulty: Column, language: Column, out_success: str, out_error: str) -> DataFrame:
+    """rows with the arrays of closing sentences that fit: a language without sentences gets the English ones, a difficulty without any those for easy."""
+    spark = rows.sparkSession
+    texts = dimensions.messages(spark).groupBy("kind", "difficulty", "language").agg(F.sort_array(F.collect_list(F.struct("idx", "text")))["text"].alias("texts"))
+    both = texts.where("kind = 'success'").withColumnRenamed("texts", out_success).drop("kind").join(texts.where("kind = 'error'").withColumnRenamed("texts", out_error).drop("kind"), ["difficulty", "language"])
+    both = both.withColumnsRenamed({"difficulty": "text_difficulty", "language": "text_language"})
+    known_difficulty = F.when(difficulty.isin(*dimensions.SUCCESS_TEXTS), difficulty).otherwise("easy")
+    known_language = F.when(language.isin(*dimensions.ERROR_TEXTS), language).otherwise("en")
+    return rows.join(F.broadcast(both), (known_difficulty == F.col("text_difficulty")) & (known_language == F.col("text_language")), "left").drop("text_difficulty", "text_language")
+
+
+def utc_now() -> str:
+    """The time now, as records carry it; one value for all rows of a run."""
+    return datetime.now(timezone.utc).isoformat(timespec="microseconds")
+
 
+def trajectories(spark: SparkSession, drawn: DataFrame, generated_at: str | None = None, by_difficulty: bool = False) -> DataFrame:
+    """dataset, id, messages, localization, metadata of drawn rows (id, seed, dataset, tool_name, difficulty, language, tone, formality, success, query, arguments).
 
-def trajectories(spark: SparkSession, drawn: DataFrame, generated_at: str = "1970-01-01T00:00:00+00:00") -> DataFrame:
-    """dataset, id, messages, localization, metadata of drawn rows (id, seed, dataset, tool_name, difficulty, language, tone, formality, success, query, arguments)."""
+    generated_at: now unless given. The closing sentence is the one for `medium`, or with by_difficulty for the row's own.
+    """
+    generated_at = generated_at or utc_now()
     about = F.broadcast(dimensions.tools(spark).select("tool_name", "category", "cause"))
-    text = dimensions.messages(spark).where("difficulty = 'medium'").groupBy("kind", "language").agg(F.sort_array(F.collect_list(F.struct("idx", "text")))["text"].alias("texts"))
-    done = F.broadcast(text.where("kind = 'success'").select("language", F.col("texts").alias("done")))
-    failed = F.broadcast(text.where("kind = 'error'").select("language", F.col("texts").alias("failed")))
-    met = drawn.join(about, "tool_name", "left").join(done, "language", "left").join(failed, "language", "left")
+    met = message_texts(drawn.join(about, "tool_name", "left"), F.col("difficulty") if by_difficulty else F.lit("medium"), F.col("language"), "done", "failed")
     u = uniform("message", F.col("seed"), F.col("id"))
-    variants = F.when(F.col("success"), F.coalesce("done", F.array(F.lit("Done.")))).otherwise(F.transform(F.coalesce("failed", F.array(F.lit("Error: "))), lambda t: F.concat(t, F.lit("failed"))))
+    variants = F.when(F.col("success"), F.col("done")).otherwise(F.transform("failed", lambda t: F.concat(t, F.lit("failed"))))
     met = met.withColumn("call_id", call_id(F.col("seed"), F.col("id"))).withColumn("closing", F.get(variants, pick(u, F.size(variants))))
     result = F.when(F.col("success"), by_tool(output)).otherwise(_object(error=F.coalesce("cause", F.lit("unknown error")), exit_code=1))
     summary = F.when(F.col("success"), by_tool(lambda t: answer(t)[0])).otherwise(by_tool(lambda t: answer(t)[1]))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -12,11 +14,11 @@ def distribution(rows: DataFrame, keys: list[str], by: str = "dataset", order: s
     A missing value counts as `?`; first_seen, the least order value, breaks ties as a stable sort would.
     """
     rows = rows.select(by, order, *[F.coalesce(F.col(k).cast("string"), F.lit("?")).alias(k) for k in keys])
-    sets = ", ".join(f"({by}, {k})" for k in keys)
-    name = "CASE " + " ".join(f"WHEN grouping({k}) = 0 THEN '{k}'" for k in keys) + " END"
-    view = f"_report_{id(rows)}"
-    rows.createOrReplaceTempView(view)
-    counted = rows.sparkSession.sql(f"SELECT {by}, {name} AS dimension, coalesce({', '.join(keys)}) AS value, count(*) AS n, min({order}) AS first_seen FROM {view} GROUP BY GROUPING SETS ({sets})")
+    dimension = None
+    for k in keys:
+        dimension = F.when(F.grouping(k) == 0, k) if dimension is None else dimension.when(F.grouping(k) == 0, k)
+    sets = rows.groupingSets([[F.col(by), F.col(k)] for k in keys], F.col(by), *[F.col(k) for k in keys])
+    counted = sets.agg(dimension.alias("dimension"), F.coalesce(*keys).alias("value"), F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen")).select(by, "dimension", "value", "n", "first_seen")
     return counted.withColumn("pct", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy(by, "dimension")))
 
 
@@ -26,21 +28,35 @@ def top(counts: DataFrame, k: int, by: str = "dataset") -> DataFrame:
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def markdown(counts: DataFrame, title: str = "Dataset report") -> str:
-    """A report of a few rows a dataset: languages by count, five top tools, difficulties by name."""
+def markdown(counts: DataFrame, title: str = "Dataset report", paths: dict[str, str] | None = None) -> str:
+    """A report of a few rows a dataset (counts as from distribution()): total, languages by count, five top tools, difficulties by name."""
     rows = sorted(counts.collect(), key=lambda r: (r["dataset"], -r["n"], r["first_seen"]))
-    out = [f"# {title}", ""]
-    for name in dict.fromkeys(r["dataset"] for r in rows):
+    names = list(dict.fromkeys(r["dataset"] for r in rows))
+    out = [f"# {title}", "", f"Generated: {datetime.now().isoformat()}", "", f"Total datasets: {len(names)}", ""]
+    for name in names:
         own = [r for r in rows if r["dataset"] == name]
-        out += [f"### {name}", ""]
-        for dimension, most, key in (("language", None, None), ("tool_name", 5, None), ("difficulty", None, "value")):
+        total = sum(r["n"] for r in own if r["dimension"] == own[0]["dimension"])
+        out += [f"### {name}", f"- Total: {total}", *([f"- File: `{paths[name]}`"] if paths else []), ""]
+        for heading, dimension, most, key in (("Languages", "language", None, None), ("Top Tools", "tool_name", 5, None), ("Difficulty", "difficulty", None, "value")):
             part = [r for r in own if r["dimension"] == dimension]
             part = sorted(part, key=lambda r: r[key]) if key else part
-            out += [f"**{dimension}:**", *[f"  - {r['value']}: {r['n']} ({r['pct']:.1f}%)" for r in part[:most]], ""]
+            out += [f"**{heading}:**", *[f"  - {r['value']}: {r['n']} ({r['pct']:.1f}%)" for r in part[:most]], ""]
     return "\n".join(out)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A folder with the text as one file, wherever Spark can write."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def console(counts: DataFrame) -> DataFrame:
-    """dimension, line: a bar for each value, half a mark a percent."""
-    bar = F.repeat(F.lit("█"), F.floor(F.col("pct") / 2).cast("int"))
-    return counts.select("dataset", "dimension", F.concat(F.rpad("value", 15, " "), F.lpad(F.format_number("n", 0), 10, " "), F.lit(" "), F.format_string("%5.1f%% ", "pct"), bar).alias("line"))
+    """dataset, dimension, place, line, in order: tools by count with a bar of half a mark a percent, difficulties by name, the eight most frequent languages."""
+    by_count = F.row_number().over(Window.partitionBy("dataset", "dimension").orderBy(F.desc("n"), "first_seen"))
+    by_name = F.row_number().over(Window.partitionBy("dataset", "dimension").orderBy("value"))
+    place = F.when(F.col("dimension") == "difficulty", by_name).otherwise(by_count)
+    wide = F.when(F.col("dimension") == "tool_name", 15).when(F.col("dimension") == "difficulty", 10).otherwise(5)
+    bar = F.when(F.col("dimension") == "tool_name", F.concat(F.lit(" "), F.repeat(F.lit("█"), F.floor(F.col("pct") / 2).cast("int")))).otherwise("")
+    padded = F.concat("value", F.repeat(F.lit(" "), F.greatest(F.lit(0), wide - F.length("value"))))
+    line = F.concat(padded, F.lit(": "), F.format_string("%6d (%5.1f%%)", "n", "pct"), bar)
+    rows = counts.select("dataset", "dimension", place.alias("place"), line.alias("line"))
+    return rows.where("dimension <> 'language' OR place <= 8").orderBy("dataset", F.desc("dimension"), "place")

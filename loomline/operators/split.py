@@ -14,12 +14,14 @@ def positions(table: DataFrame, key: str, seed: int) -> DataFrame:
 
     Rows are numbered within hash buckets; the buckets' sizes, a table of fixed size, give the offsets. No task sees all rows.
     """
-    hashed = table.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))).withColumn("_b", F.substring("_h", 1, BUCKET_CHARS))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) - 1
-    return hashed.withColumn("_in", within).join(F.broadcast(starts), "_b").withColumn("pos", (F.col("_start") + F.col("_in")).cast("long")).drop("_h", "_b", "_n", "_start", "_in")
+    # the row is one struct, so that its columns' names clash with none of these
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    hashed = table.select(F.struct(*table.columns).alias("row"), F.col(key).alias("key"), h.alias("h"), F.substring(h, 1, BUCKET_CHARS).alias("b"))
+    sizes = hashed.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("b").orderBy("h", "key")) - 1
+    return hashed.withColumn("in", within).join(F.broadcast(starts), "b").select("row.*", (F.col("start") + F.col("in")).cast("long").alias("pos"))
 
 
 def split_70_15_15(table: DataFrame, key: str, seed: int, total: int | None = None) -> DataFrame:

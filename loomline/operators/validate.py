@@ -1,75 +1,117 @@
-"""Structural validation and the issue-code critic for trajectories."""
+"""Structural validation and the issue-code critic for trajectories.
+
+Both look at one row at a time: the messages stay an array, an Arrow UDF says of each content whether json.loads takes it, and
+the checks are higher-order functions over the array. No row meets another one, so there is no shuffle, and rows need no unique id.
+"""
 
 from __future__ import annotations
 
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.sources import dimensions
 
 ID_MARK = "{{TOOL_CALL_ID}}"
+#: What names a row: those of these columns that it has.
+NAMES = ("dataset", "id")
+
+
+def _kind(text: str | None) -> str | None:
+    """`object` for a JSON object, `falsy` for one whose content is missing, null, false, zero or empty, `other` for other JSON, None for what
+    json.loads rejects; no JVM parser draws this line in the same place."""
+    try:
+        value = json.loads(text)
+    except (TypeError, ValueError, RecursionError):
+        return None
+    if not isinstance(value, dict):
+        return "other"
+    return "object" if value.get("content") else "falsy"
 
 
 @F.pandas_udf(T.StringType())
 def strict_json(content: pd.Series) -> pd.Series:
-    """`object` or `other` for what json.loads takes, null for what it rejects; no JVM parser draws this line in the same place."""
+    """`object` or `other` for what json.loads takes, null for what it rejects."""
+    return content.map(lambda text: {"falsy": "object"}.get(k := _kind(text), k))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def json_kinds(contents: pd.Series) -> pd.Series:
+    """_kind() of each string of an array."""
+    return contents.map(lambda texts: None if texts is None else [_kind(t) for t in texts])
+
+
+def _is(value: Column, want: str) -> Column:
+    return F.coalesce(value == want, F.lit(False))
 
-    def kind(text: str | None) -> str | None:
-        try:
-            return "object" if isinstance(json.loads(text), dict) else "other"
-        except (TypeError, ValueError, RecursionError):
-            return None
 
-    return content.map(kind)
+def _any_of(tests: list[tuple[Column, Column | str]]) -> Column:
+    """The texts of the tests that hold, in order."""
+    return F.filter(F.array(*[F.when(test, text if isinstance(text, Column) else F.lit(text)) for test, text in tests]), lambda x: x.isNotNull())
 
 
-def turns(trajectories: DataFrame) -> DataFrame:
-    """One row a message: id, turn, n, role, content, kind of JSON, keys and the fields that the checks read."""
-    long = trajectories.select("id", F.size("messages").alias("n"), F.posexplode("messages").alias("turn", "m")).select("id", "n", "turn", "m.*")
-    long = long.withColumn("json", F.when(F.col("role").isin("assistant", "tool"), strict_json("content")))
-    keys = F.when(F.col("json") == "object", F.coalesce(F.json_object_keys("content"), F.array().cast("array<string>")))
-    fields = {f: F.when(F.col("json") == "object", F.get_json_object("content", f"$.{f}")) for f in ("type", "id", "tool_name", "arguments", "tool_call_id", "output")}
-    return long.withColumn("keys", keys).withColumns({f"_{k}": v for k, v in fields.items()} | {"_answer": F.when(F.col("json") == "object", F.get_json_object("content", "$.content"))})
+def with_parsed(trajectories: DataFrame) -> DataFrame:
+    """trajectories with t: their messages as structs of role, content, json (the content's kind, for assistant and tool messages), keys and the fields
+    that the checks read."""
+    own = F.transform("messages", lambda m: F.when(m["role"].isin("assistant", "tool"), m["content"]))
+    rows = trajectories.withColumn("kinds_", json_kinds(own))
 
+    def parse(m: Column, kind: Column) -> Column:
+        is_object = kind.isin("object", "falsy")
+        field = lambda name: F.when(is_object, F.get_json_object(m["content"], f"$.{name}")).alias(name)
+        keys = F.when(is_object, F.coalesce(F.json_object_keys(m["content"]), F.array().cast("array<string>")))
+        names = ("type", "id", "tool_name", "arguments", "tool_call_id", "output")
+        return F.struct(m["role"].alias("role"), kind.alias("json"), is_object.alias("is_object"), keys.alias("keys"), F.when(is_object, F.get_json_object(m["content"], "$.content")).alias("answer"), *[field(n) for n in names])
 
-def _has(key: str) -> Column:
-    return F.array_contains("keys", key)
+    return rows.withColumn("t", F.zip_with("messages", "kinds_", parse)).drop("kinds_")
 
 
 def structural_issues(trajectories: DataFrame) -> DataFrame:
-    """id, issues (array, in message order): the validator's errors; fewer than four messages is the only error then.
+    """dataset and id (as far as there are any), issues (array, in message order): the validator's errors; fewer than four messages is the only error then.
 
     Assistant and tool messages whose JSON is no object are reported as such.
     """
-    known = F.coalesce(F.col("_tool_name").isin(dimensions.TOOL_NAMES), F.lit(False))
-    assistant, tool = F.col("role") == "assistant", F.col("role") == "tool"
-    a_object, t_object = assistant & (F.col("json") == "object"), tool & (F.col("json") == "object")
-    call = a_object & (F.col("_type") == "tool_call")
-    empty = F.coalesce("_answer", F.lit("")).isin("", "false", "0", "[]", "{}", "null")
-    checks = [
-        (assistant & F.col("json").isNull(), F.lit("assistant message not valid JSON")),
-        (assistant & (F.col("json") == "other"), F.lit("ASSISTANT_NOT_OBJECT")),
-        (call & ~_has("id"), F.lit("tool_call missing id")),
-        (call & ~known, F.concat(F.lit("unknown tool: "), F.coalesce("_tool_name", F.lit("None")))),
-        (call & ~_has("arguments"), F.lit("tool_call missing arguments")),
-        (a_object & (F.col("_type") == "final_answer") & empty, F.lit("final_answer missing content")),
-        (tool & F.col("json").isNull(), F.lit("tool message not valid JSON")),
-        (tool & (F.col("json") == "other"), F.lit("TOOL_NOT_OBJECT")),
-        (t_object & ~F.coalesce(F.col("_type") == "tool_result", F.lit(False)), F.lit("tool message must have type=tool_result")),
-        (t_object & ~_has("tool_call_id"), F.lit("tool_result missing tool_call_id")),
-    ]
-    found = F.filter(F.array(*[F.when(test, text) for test, text in checks]), lambda x: x.isNotNull())
-    per_turn = turns(trajectories).groupBy("id").agg(F.flatten(F.sort_array(F.collect_list(F.struct("turn", found.alias("f"))))["f"]).alias("found"))
+
+    def of_message(m: Column) -> Column:
+        has = lambda key: F.coalesce(F.array_contains(m["keys"], key), F.lit(False))
+        assistant, tool = _is(m["role"], "assistant"), _is(m["role"], "tool")
+        call = assistant & m["is_object"] & _is(m["type"], "tool_call")
+        final = assistant & m["is_object"] & _is(m["type"], "final_answer")
+        return _any_of(
+            [
+                (assistant & m["json"].isNull(), "assistant message not valid JSON"),
+                (assistant & (m["json"] == "other"), "ASSISTANT_NOT_OBJECT"),
+                (call & ~has("id"), "tool_call missing id"),
+                (call & ~F.coalesce(m["tool_name"].isin(dimensions.TOOL_NAMES), F.lit(False)), F.concat(F.lit("unknown tool: "), F.coalesce(m["tool_name"], F.lit("None")))),
+                (call & ~has("arguments"), "tool_call missing arguments"),
+                (final & (m["json"] == "falsy"), "final_answer missing content"),
+                (tool & m["json"].isNull(), "tool message not valid JSON"),
+                (tool & (m["json"] == "other"), "TOOL_NOT_OBJECT"),
+                (tool & m["is_object"] & ~_is(m["type"], "tool_result"), "tool message must have type=tool_result"),
+                (tool & m["is_object"] & ~has("tool_call_id"), "tool_result missing tool_call_id"),
+            ]
+        )
+
     m = F.col("messages")
-    role = lambda at, want, text: F.when(~F.coalesce(at["role"] == want, F.lit(False)), text)
-    order = F.filter(F.array(role(F.get(m, F.lit(0)), "system", "first message must be system"), role(F.get(m, F.lit(1)), "user", "second message must be user"), role(F.try_element_at(m, F.lit(-1)), "assistant", "last message must be assistant")), lambda x: x.isNotNull())
+    order = _any_of(
+        [
+            (~_is(F.get(m, F.lit(0))["role"], "system"), "first message must be system"),
+            (~_is(F.get(m, F.lit(1))["role"], "user"), "second message must be user"),
+            (~_is(F.try_element_at(m, F.lit(-1))["role"], "assistant"), "last message must be assistant"),
+        ]
+    )
     few = F.coalesce(F.size("messages"), F.lit(0)) < 4
-    met = trajectories.select("id", "messages").join(per_turn, "id", "left")
-    return met.select("id", F.when(few, F.array(F.lit("too few messages"))).otherwise(F.concat(order, F.coalesce("found", F.array().cast("array<string>")))).alias("issues"))
+    issues = F.when(few, F.array(F.lit("too few messages"))).otherwise(F.concat(order, F.flatten(F.transform("t", of_message))))
+    return with_parsed(trajectories).select(*[c for c in NAMES if c in trajectories.columns], issues.alias("issues"))
+
+
+def valid_only(trajectories: DataFrame) -> DataFrame:
+    """The trajectories without any issue, in their own columns."""
+    rows = trajectories.select(F.struct(*trajectories.columns).alias("row"), "messages")
+    return structural_issues(rows.withColumn("id", F.col("row"))).where(F.size("issues") == 0).select("id.*")
 
 
 def batch_stats(issues: DataFrame) -> DataFrame:
@@ -80,56 +122,65 @@ def batch_stats(issues: DataFrame) -> DataFrame:
 # Our own choice of words, as none are specified.
 VAGUE = ["done.", "ok.", "okay.", "all good.", "as requested.", "task complete."]
 CONTRADICTIONS = [("success", "failed"), ("completed", "could not")]
+PLACEHOLDER = "\\{[A-Za-z_]+\\}"
 
 
 def critique(trajectories: DataFrame) -> DataFrame:
-    """id, turn, code, category: the 22 review codes, a row each time one applies (turn null: the whole sequence)."""
-    t = turns(trajectories)
-    call, result = (F.col("role") == "assistant") & (F.col("_type") == "tool_call"), (F.col("role") == "tool") & (F.col("_type") == "tool_result")
-    final = (F.col("role") == "assistant") & (F.col("_type") == "final_answer")
-    arguments_kind = F.when(_has("arguments"), F.when(F.col("_arguments").startswith("{"), "object").otherwise("other"))
+    """dataset and id (as far as there are any), turn, code, category: the 22 review codes, a row each time one applies (turn null: the whole sequence)."""
+    names = [c for c in NAMES if c in trajectories.columns]
+    rows = with_parsed(trajectories)
+    # output strings by message: what they are is for json.loads to say again
+    rows = rows.withColumn("outputs_", json_kinds(F.transform("t", lambda m: m["output"])))
+    is_call = lambda m: _is(m["role"], "assistant") & _is(m["type"], "tool_call")
+    is_result = lambda m: _is(m["role"], "tool") & _is(m["type"], "tool_result")
+    calls = F.transform(F.filter("t", is_call), lambda m: m["id"])
+    tools = F.filter(F.transform(F.filter("t", is_call), lambda m: m["tool_name"]), lambda x: x.isNotNull())
+    rows = rows.withColumn("calls_", calls).withColumn("tools_", tools)
     required = F.create_map(*[x for name, _, _, _, args in dimensions.TOOLS for x in (F.lit(name), F.array(*[F.lit(a) for a, _, r in args if r]).cast("array<string>"))])
-    given = F.coalesce(F.json_object_keys("_arguments"), F.array().cast("array<string>"))
-    lower = F.lower(F.coalesce("_answer", F.lit("")))
-    both = None
-    for a, b in CONTRADICTIONS:
-        test = lower.contains(a) & lower.contains(b)
-        both = test if both is None else both | test
-    exit_zero = F.get_json_object("_output", "$.exit_code") == "0"
-    per_id = Window.partitionBy("id")
-    t = t.withColumn("calls", F.collect_set(F.when(call, F.col("_id"))).over(per_id)).withColumn("tools", F.collect_set(F.when(call, F.col("_tool_name"))).over(per_id)).withColumn("output_json", F.when(result, strict_json("_output")))
-    grounded = F.exists("tools", lambda n: F.coalesce("_answer", F.lit("")).contains(n))
-    placeholder = "\\{[A-Za-z_]+\\}"
-    codes = [
-        ("SCHEMA", "TC_MISSING_ID", call & ~_has("id")),
-        ("SCHEMA", "TC_MISSING_TOOL", call & ~_has("tool_name")),
-        ("SCHEMA", "TC_BAD_ARGS", call & (arguments_kind.isNull() | (arguments_kind == "other"))),
-        ("SCHEMA", "TR_MISSING_TCID", result & ~_has("tool_call_id")),
-        ("SCHEMA", "FA_MISSING_CONTENT", final & ~_has("content")),
-        ("TOOL_CALL", "UNKNOWN_TOOL", call & _has("tool_name") & ~F.coalesce(F.col("_tool_name").isin(dimensions.TOOL_NAMES), F.lit(False))),
-        ("TOOL_CALL", "MISSING_ARG", call & (F.size(F.array_except(required[F.col("_tool_name")], given)) > 0)),
-        ("TOOL_CALL", "EMPTY_ID", call & _has("id") & (F.trim(F.coalesce("_id", F.lit(""))) == "")),
-        ("TOOL_CALL", "UNSUBSTITUTED_ID", call & (F.col("_id") == ID_MARK)),
-        ("TOOL_RESULT", "UNSUBSTITUTED_TCID", result & (F.col("_tool_call_id") == ID_MARK)),
-        ("TOOL_RESULT", "TCID_MISMATCH", result & ~F.coalesce(F.array_contains("calls", F.col("_tool_call_id")), F.lit(False))),
-        ("TOOL_RESULT", "OUTPUT_NOT_JSON", result & F.col("output_json").isNull()),
-        ("TOOL_RESULT", "OUTPUT_PLACEHOLDER", result & F.col("_output").rlike(placeholder)),
-        ("TOOL_RESULT", "EXIT_CODE_CONFLICT", result & exit_zero & F.lower("_output").contains("error")),
-        ("FINAL_ANSWER", "VAGUE_ANSWER", final & F.trim(lower).isin(VAGUE)),
-        ("FINAL_ANSWER", "ANSWER_PLACEHOLDER", final & F.col("_answer").rlike(placeholder)),
-        ("FINAL_ANSWER", "HALLUCINATION", final & both),
-        ("FINAL_ANSWER", "NOT_GROUNDED", final & (F.size("tools") > 0) & ~grounded),
+
+    def of_message(m: Column, turn: Column) -> Column:
+        has = lambda key: F.coalesce(F.array_contains(m["keys"], key), F.lit(False))
+        call, result, final = is_call(m), is_result(m), _is(m["role"], "assistant") & _is(m["type"], "final_answer")
+        given = F.coalesce(F.json_object_keys(m["arguments"]), F.array().cast("array<string>"))
+        answer = F.coalesce(m["answer"], F.lit(""))
+        lower = F.lower(answer)
+        both = None
+        for a, b in CONTRADICTIONS:
+            test = lower.contains(a) & lower.contains(b)
+            both = test if both is None else both | test
+        grounded = F.exists("tools_", lambda n: answer.contains(n))
+        kind = F.get("outputs_", turn)
+        codes = [
+            ("SCHEMA", "TC_MISSING_ID", call & ~has("id")),
+            ("SCHEMA", "TC_MISSING_TOOL", call & ~has("tool_name")),
+            ("SCHEMA", "TC_BAD_ARGS", call & ~(has("arguments") & m["arguments"].startswith("{"))),
+            ("SCHEMA", "TR_MISSING_TCID", result & ~has("tool_call_id")),
+            ("SCHEMA", "FA_MISSING_CONTENT", final & ~has("content")),
+            ("TOOL_CALL", "UNKNOWN_TOOL", call & has("tool_name") & ~F.coalesce(m["tool_name"].isin(dimensions.TOOL_NAMES), F.lit(False))),
+            ("TOOL_CALL", "MISSING_ARG", call & (F.size(F.array_except(required[m["tool_name"]], given)) > 0)),
+            ("TOOL_CALL", "EMPTY_ID", call & has("id") & (F.trim(F.coalesce(m["id"], F.lit(""))) == "")),
+            ("TOOL_CALL", "UNSUBSTITUTED_ID", call & (m["id"] == ID_MARK)),
+            ("TOOL_RESULT", "UNSUBSTITUTED_TCID", result & (m["tool_call_id"] == ID_MARK)),
+            ("TOOL_RESULT", "TCID_MISMATCH", result & ~F.coalesce(F.array_contains("calls_", m["tool_call_id"]), F.lit(False))),
+            ("TOOL_RESULT", "OUTPUT_NOT_JSON", result & kind.isNull()),
+            ("TOOL_RESULT", "OUTPUT_PLACEHOLDER", result & m["output"].rlike(PLACEHOLDER)),
+            ("TOOL_RESULT", "EXIT_CODE_CONFLICT", result & (F.get_json_object(m["output"], "$.exit_code") == "0") & F.lower(m["output"]).contains("error")),
+            ("FINAL_ANSWER", "VAGUE_ANSWER", final & F.trim(lower).isin(VAGUE)),
+            ("FINAL_ANSWER", "ANSWER_PLACEHOLDER", final & answer.rlike(PLACEHOLDER)),
+            ("FINAL_ANSWER", "HALLUCINATION", final & both),
+            ("FINAL_ANSWER", "NOT_GROUNDED", final & (F.size("tools_") > 0) & ~grounded),
+        ]
+        found = [F.when(F.coalesce(test, F.lit(False)), F.struct(turn.cast("int").alias("turn"), F.lit(code).alias("code"), F.lit(category).alias("category"))) for category, code, test in codes]
+        return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+    roles = F.transform(F.filter("t", lambda m: ~_is(m["role"], "system")), lambda m: m["role"])
+    repeats = F.exists(F.sequence(F.lit(1), F.greatest(F.size("roles_") - 1, F.lit(1))), lambda i: F.coalesce(F.get("roles_", i) == F.get("roles_", i - 1), F.lit(False)))
+    rows = rows.withColumn("roles_", roles)
+    sequence = [
+        ("BAD_FIRST_ROLE", ~_is(F.get("roles_", F.lit(0)), "user")),
+        ("BAD_LAST_ROLE", ~_is(F.try_element_at("roles_", F.lit(-1)), "assistant")),
+        ("COUNT_MISMATCH", F.size(F.filter("t", is_call)) != F.size(F.filter("t", is_result))),
+        ("BAD_ALTERNATION", repeats),
     ]
-    per_message = t.select("id", "turn", F.explode(F.filter(F.array(*[F.when(F.coalesce(test, F.lit(False)), F.struct(F.lit(code).alias("code"), F.lit(category).alias("category"))) for category, code, test in codes]), lambda x: x.isNotNull())).alias("x")).select("id", "turn", "x.code", "x.category")
-    return per_message.unionByName(sequence_issues(t, call, result))
-
-
-def sequence_issues(turns: DataFrame, call: Column, result: Column) -> DataFrame:
-    """The four sequence codes over long rows (id, turn, role)."""
-    other = turns.where(F.coalesce(F.col("role") != "system", F.lit(True)))
-    before = F.lag("role").over(Window.partitionBy("id").orderBy("turn"))
-    seen = other.withColumn("same", F.coalesce(F.col("role") == before, F.lit(False))).withColumn("calls_", call.cast("int")).withColumn("results_", result.cast("int"))
-    per = seen.groupBy("id").agg(F.min_by("role", "turn").alias("first"), F.max_by("role", "turn").alias("last"), F.max("same").alias("same"), F.coalesce(F.sum("calls_"), F.lit(0)).alias("c"), F.coalesce(F.sum("results_"), F.lit(0)).alias("r"))
-    tests = [("BAD_FIRST_ROLE", ~F.coalesce(F.col("first") == "user", F.lit(False))), ("BAD_LAST_ROLE", ~F.coalesce(F.col("last") == "assistant", F.lit(False))), ("COUNT_MISMATCH", F.col("c") != F.col("r")), ("BAD_ALTERNATION", F.col("same"))]
-    found = F.filter(F.array(*[F.when(test, code) for code, test in tests]), lambda x: x.isNotNull())
-    return per.select("id", F.lit(None).cast("int").alias("turn"), F.explode(found).alias("code"), F.lit("SEQUENCE").alias("category"))
+    whole = F.filter(F.array(*[F.when(F.size("roles_") > 0, F.when(test, F.struct(F.lit(None).cast("int").alias("turn"), F.lit(code).alias("code"), F.lit("SEQUENCE").alias("category")))) for code, test in sequence]), lambda x: x.isNotNull())
+    return rows.select(*names, F.explode(F.concat(F.flatten(F.transform("t", of_message)), whole)).alias("x")).select(*names, "x.*")

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions import draws
+from loomline.operators import report
 from loomline.operators.render import trajectories
-from loomline.operators.sampler import with_intents
+from loomline.operators.sampler import with_intents, with_library_intents
 from loomline.operators.split import split_70_15_15
+from loomline.operators.validate import valid_only
 from loomline.sources import dimensions, jsonl
 
 SEED = 2026
@@ -21,9 +23,14 @@ def bulk_draws(spark: SparkSession, count: int, seed: int = SEED, error_rate: fl
     return rows.select("*", draws.tool(seed, F.col("id")).alias("tool_name"), draws.difficulty(seed, F.col("id")).alias("difficulty"), at.alias("l"), draws.success(seed, F.col("id"), error_rate > 0, error_rate if honor_error_rate else 0.15).alias("success")).select("*", "l.*").drop("l")
 
 
-def bulk(spark: SparkSession, count: int = 100_000, seed: int = SEED, error_rate: float = 0.15, repair: bool = False) -> DataFrame:
-    """count trajectories; all render to valid rows, so none are drawn twice."""
-    return trajectories(spark, with_intents(spark, bulk_draws(spark, count, seed, error_rate), count, repair=repair))
+def bulk(spark: SparkSession, count: int = 100_000, seed: int = SEED, error_rate: float = 0.15, repair: bool = False, generated_at: str | None = None) -> DataFrame:
+    """count trajectories, without any that the validator rejects (all drawn rows render to valid ones)."""
+    return valid_only(bulk_unchecked(spark, count, seed, error_rate, repair, generated_at))
+
+
+def bulk_unchecked(spark: SparkSession, count: int = 100_000, seed: int = SEED, error_rate: float = 0.15, repair: bool = False, generated_at: str | None = None) -> DataFrame:
+    """count trajectories as they are drawn."""
+    return trajectories(spark, with_intents(spark, bulk_draws(spark, count, seed, error_rate), count, repair=repair), generated_at)
 
 
 def bulk_to_jsonl(spark: SparkSession, path: str, count: int = 100_000, seed: int = SEED, error_rate: float = 0.15) -> None:
@@ -48,16 +55,24 @@ def config_draws(spark: SparkSession) -> DataFrame:
     return rows.select("dataset", "seed", "id", draws.tool(F.col("seed"), F.col("id")).alias("tool_name"), draws.difficulty(F.col("seed"), F.col("id")).alias("difficulty"), at["language"].alias("language"), at["tone"].alias("tone"), at["formality"].alias("formality"), F.lit(True).alias("success"))
 
 
-def config_datasets(spark: SparkSession) -> DataFrame:
-    return trajectories(spark, with_intents(spark, config_draws(spark), 1000))
+def config_datasets(spark: SparkSession, generated_at: str | None = None) -> DataFrame:
+    """The ten review datasets, valid rows only."""
+    return valid_only(trajectories(spark, with_intents(spark, config_draws(spark), 1000), generated_at))
+
+
+def config_datasets_to_jsonl(spark: SparkSession, path: str) -> None:
+    """A folder of JSON Lines for each review dataset, and REPORT.md beside them."""
+    jsonl.write(config_datasets(spark), f"{path}/datasets", ["dataset"])
+    counts = report.distribution(config_draws(spark), ["language", "tool_name", "difficulty"])
+    report.write_text(spark, report.markdown(counts, "Dataset Generation Report", {c[0]: f"{path}/datasets/dataset={c[0]}" for c in dimensions.CONFIGS}), f"{path}/REPORT.md")
 
 
-def library_batch(spark: SparkSession, count: int, seed: int = SEED, include_error: bool = False) -> DataFrame:
-    """The library entry: each axis of the locale is drawn by itself."""
+def library_batch(spark: SparkSession, count: int, seed: int = SEED, include_error: bool = False, generated_at: str | None = None) -> DataFrame:
+    """The library entry: each axis of the locale is drawn by itself, and intents are any of the library's own."""
     row = F.col("id")
     axis = lambda name, values: F.get(F.array(*[F.lit(v) for v in values]), draws.pick(draws.uniform(name, seed, row), len(values)))
     drawn = spark.range(count).select(F.lit("library").alias("dataset"), F.lit(seed).cast("long").alias("seed"), "id", draws.tool(seed, row).alias("tool_name"), draws.difficulty(seed, row).alias("difficulty"), axis("language", dimensions.LIBRARY_LANGUAGES).alias("language"), axis("tone", dimensions.TONES).alias("tone"), axis("formality", dimensions.FORMALITIES).alias("formality"), draws.success(seed, row, include_error).alias("success"))
-    return trajectories(spark, with_intents(spark, drawn, count))
+    return valid_only(trajectories(spark, with_library_intents(spark, drawn), generated_at))
 
 
 def localized_batch(spark: SparkSession, languages: list[str], tones: list[str], formalities: list[str], count: int, seed: int = SEED, rerender: bool = False) -> DataFrame:

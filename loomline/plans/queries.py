@@ -13,7 +13,8 @@ from loomline.operators.sampler import FRESH, with_intents
 from loomline.plans import generate
 from loomline.sources import dimensions
 
-N = 20_000
+#: Rows of a bulk run.
+N = 100_000
 SEED = generate.SEED
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,9 +47,30 @@ def _ladder(u: str, steps: list[tuple[str, float]]) -> str:
     return f"{out} ELSE '{steps[-1][0]}' END"
 
 
-_TOOL = _ladder(_u("tool"), [(t[0], t[2]) for t in dimensions.TOOLS])
+def _tool_sql(seed: int | str = SEED) -> str:
+    return _ladder(_u("tool", seed), [(t[0], t[2]) for t in dimensions.TOOLS])
+
+
+_TOOL = _tool_sql()
 _LOCALE_ROWS = ", ".join(f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(dimensions.LOCALES))
-_INTENT_ROWS = ", ".join("('{}', {}, '{}')".format(t, i, q.replace("'", "''")) for t, i, q, _ in dimensions.INTENTS)
+
+
+def intent_rows(repair: bool = False) -> str:
+    quoted = lambda x: x.replace("'", "''")
+    return ", ".join(f"('{dimensions.REPAIRED.get(t, t) if repair else t}', {i}, '{quoted(q)}', '{quoted(a)}')" for t, i, q, a in dimensions.INTENTS)
+
+
+def diverse_sql(rows: str) -> str:
+    """CTEs that end with diverse: id, tool_name, query, arguments of the diversity sampler's picks."""
+    return f"""i(tool_name, idx, query, arguments) AS (VALUES {rows}),
+p AS (SELECT *, row_number() OVER (PARTITION BY tool_name ORDER BY md5('{SEED}|perm|' || tool_name || '|' || idx), idx) AS k, count(*) OVER (PARTITION BY tool_name) AS n FROM i),
+d AS (SELECT id, {_TOOL} AS tool_name FROM range({N}) r(id)),
+f AS (SELECT d.*, (SELECT max(n) FROM p WHERE p.tool_name = d.tool_name) AS n, {_u('fresh')} < {FRESH}::DOUBLE AS fresh FROM d),
+g AS (SELECT *, sum((fresh AND n IS NOT NULL)::INT) OVER (PARTITION BY tool_name ORDER BY id) AS c FROM f),
+h AS (SELECT g.*, CASE WHEN fresh AND c <= n THEN c END AS k FROM g),
+diverse AS (SELECT h.id, h.tool_name, coalesce(a.query, b.query, 'use ' || h.tool_name) AS query, coalesce(a.arguments, b.arguments, '{{}}') AS arguments FROM h
+LEFT JOIN p a ON a.tool_name = h.tool_name AND a.k = h.k
+LEFT JOIN i b ON b.tool_name = h.tool_name AND b.idx = floor({_u('intent', row='h.id')} * h.n)::INT)"""
 
 
 @query("""SELECT conv_id, min_by(role, turn) AS first_role, max_by(role, turn) AS last_role,
@@ -199,15 +221,7 @@ def gen_success_rate(spark, sf_dir):
     return generate.bulk_draws(spark, N).groupBy("tool_name").agg(F.count(F.lit(1)).alias("n"), F.count_if("success").alias("n_success"))
 
 
-@query(f"""WITH i(tool_name, idx, query) AS (VALUES {_INTENT_ROWS}),
-p AS (SELECT *, row_number() OVER (PARTITION BY tool_name ORDER BY md5('{SEED}|perm|' || tool_name || '|' || idx), idx) AS k, count(*) OVER (PARTITION BY tool_name) AS n FROM i),
-d AS (SELECT id, {_TOOL} AS tool_name FROM range({N}) r(id)),
-f AS (SELECT d.*, (SELECT max(n) FROM p WHERE p.tool_name = d.tool_name) AS n, {_u('fresh')} < {FRESH}::DOUBLE AS fresh FROM d),
-g AS (SELECT *, sum((fresh AND n IS NOT NULL)::INT) OVER (PARTITION BY tool_name ORDER BY id) AS c FROM f),
-h AS (SELECT g.*, CASE WHEN fresh AND c <= n THEN c END AS k FROM g)
-SELECT h.id, h.tool_name, coalesce(a.query, b.query, 'use ' || h.tool_name) AS query FROM h
-LEFT JOIN p a ON a.tool_name = h.tool_name AND a.k = h.k
-LEFT JOIN i b ON b.tool_name = h.tool_name AND b.idx = floor({_u('intent', row='h.id')} * h.n)::INT""")
+@query(f"WITH {diverse_sql(intent_rows())} SELECT id, tool_name, query FROM diverse")
 def gen_intent_diversity(spark, sf_dir):
     return with_intents(spark, generate.bulk_draws(spark, N), N, prefix=1024).select("id", "tool_name", "query")
 
@@ -227,32 +241,24 @@ def gen_config_locale_matches(spark, sf_dir):
     return generate.config_locales(spark).select("dataset", F.inline("locales")).select("dataset", "language", "tone", "formality")
 
 
-def _rules() -> str:
-    clause = lambda words: " AND ".join(f"contains(command, '{w}')" for w in words)
+def rules_sql(command: str = "command") -> str:
+    clause = lambda words: " AND ".join(f"contains({command}, '{w}')" for w in words)
     return "CASE " + " ".join(f"WHEN {' OR '.join(f'({clause(w)})' for w in clauses)} THEN '{name}'" for name, clauses in dimensions.BASH_RULES) + " ELSE 'other' END"
 
 
-@query("WITH c(command) AS (VALUES " + ", ".join("('{}')".format(c.replace("'", "''")) for c in dimensions._COMMANDS) + f") SELECT command, {_rules()} AS rule FROM c")
+@query("WITH c(command) AS (VALUES " + ", ".join("('{}')".format(c.replace("'", "''")) for c in dimensions._COMMANDS) + f") SELECT command, {rules_sql()} AS rule FROM c")
 def gen_bash_dispatch(spark, sf_dir):
     return dimensions.intents(spark).where("tool_name = 'Bash'").select(F.get_json_object("arguments", "$.command").alias("command")).withColumn("rule", render.bash_rule(F.col("command")))
 
 
-@query(f"SELECT {N} AS total, {N} AS valid, 0 AS invalid")
-def gen_trajectories_valid(spark, sf_dir):
-    return validate.batch_stats(validate.structural_issues(generate.bulk(spark, N))).select(*[F.col(c).cast("int").alias(c) for c in ("total", "valid", "invalid")])
-
-
-@query()
-def gen_critic_issue_counts(spark, sf_dir):
-    return validate.critique(generate.bulk(spark, N)).groupBy("code", "category").agg(F.count(F.lit(1)).alias("n"))
-
-
 _CONFIG_SEEDS = ", ".join(f"('{n}', {s}, {r})" for n, s, r, *_ in dimensions.CONFIGS)
 
 
-@query(f"""WITH c(dataset, seed, rows) AS (VALUES {_CONFIG_SEEDS}), d AS (SELECT dataset, seed, unnest(range(rows)) AS id FROM c),
-x AS (SELECT dataset, id, {_ladder(_u('tool', 'seed'), [(t[0], t[2]) for t in dimensions.TOOLS])} AS tool_name, {_ladder(_u('difficulty', 'seed'), dimensions.DIFFICULTIES)} AS difficulty FROM d)
-SELECT dataset, CASE WHEN grouping(tool_name) = 0 THEN 'tool_name' ELSE 'difficulty' END AS dimension, coalesce(tool_name, difficulty) AS value, count(*) AS n, min(id) AS first_seen, round(count(*) / 10.0::DOUBLE, 6) AS pct
-FROM x GROUP BY GROUPING SETS ((dataset, tool_name), (dataset, difficulty))""")
+@query(f"""WITH c(dataset, seed, rows) AS (VALUES {_CONFIG_SEEDS}), cl(dataset, ls, ts, fs) AS (VALUES {_CONFIG_ROWS}), l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}),
+fit AS (SELECT dataset, language, row_number() OVER (PARTITION BY dataset ORDER BY pos) - 1 AS k, count(*) OVER (PARTITION BY dataset) AS n_fit FROM cl, l WHERE list_contains(ls, language) AND list_contains(ts, tone) AND list_contains(fs, formality)),
+d AS (SELECT dataset, seed, unnest(range(rows)) AS id FROM c),
+x AS (SELECT d.dataset, id, language, {_tool_sql('seed')} AS tool_name, {_ladder(_u('difficulty', 'seed'), dimensions.DIFFICULTIES)} AS difficulty FROM d JOIN fit ON fit.dataset = d.dataset AND fit.k = floor({_u('locale', 'seed')} * n_fit)::INT)
+SELECT dataset, CASE WHEN grouping(tool_name) = 0 THEN 'tool_name' WHEN grouping(difficulty) = 0 THEN 'difficulty' ELSE 'language' END AS dimension, coalesce(tool_name, difficulty, language) AS value, count(*) AS n, min(id) AS first_seen, round(count(*) / 10.0::DOUBLE, 6) AS pct
+FROM x GROUP BY GROUPING SETS ((dataset, tool_name), (dataset, difficulty), (dataset, language))""")
 def gen_report_by_dataset(spark, sf_dir):
-    return report.distribution(generate.config_draws(spark), ["tool_name", "difficulty"]).withColumn("pct", F.round("pct", 6))
+    return report.distribution(generate.config_draws(spark), ["tool_name", "difficulty", "language"]).withColumn("pct", F.round("pct", 6))

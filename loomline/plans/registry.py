@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline.plans import queries as q
+from loomline.plans import record_queries  # noqa: F401  registers its queries with those of q
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,25 +22,99 @@ TOOLS = [
 ]
 TOOL_NAMES = [t[0] for t in TOOLS]
 
-# Difficulty shares, and (tone, formality) pairs of each language in order.
+# Default values of arguments and the values that one of them names.
+DEFAULTS = {
+    ("Bash", "timeout"): 30,
+    ("File_Read", "offset"): 0,
+    ("File_Write", "append"): False,
+    ("Glob", "path"): ".",
+    ("Grep", "path"): ".",
+    ("Grep", "case_sensitive"): True,
+    ("TodoWrite", "status"): "pending",
+    ("Web_Search", "num_results"): 5,
+}
+
+#: What the prompt and the function schemas say of each tool and of each argument, in our own words.
+DESCRIPTIONS = {
+    "Bash": "runs one shell command and reports its streams",
+    "File_Read": "shows a file, or some lines of it",
+    "File_Write": "creates a file, or puts new text in place of the old",
+    "File_Edit": "swaps one exact piece of a file for another",
+    "Glob": "lists paths that fit a wildcard pattern",
+    "Grep": "lists lines that fit a regular expression",
+    "TodoWrite": "adds an open task or changes its state",
+    "TodoRead": "lists the open tasks",
+    "Web_Search": "looks words up on the web",
+    "Web_Fetch": "loads one page",
+}
+ARGUMENT_DESCRIPTIONS = {
+    "command": "what the shell is to run",
+    "timeout": "seconds until it is stopped",
+    "working_directory": "folder to run it in",
+    "file_path": "where the file is",
+    "offset": "first line to show",
+    "limit": "lines to show at most",
+    "content": "the new text",
+    "append": "whether the old text stays in front",
+    "old_string": "the piece to swap out",
+    "new_string": "the piece to put there",
+    "pattern": "what must fit",
+    "path": "folder to look in",
+    "file_types": "kinds of files to look at",
+    "case_sensitive": "whether capitals matter",
+    "todo": "the task in words",
+    "status": "how far it is",
+    "query": "the words to look up",
+    "num_results": "results to give at most",
+    "url": "the page's address",
+    "prompt": "what to take from the page",
+}
+
+# Difficulty shares; locales in order.
 DIFFICULTIES = [("easy", 0.30), ("medium", 0.40), ("hard", 0.20), ("expert", 0.10)]
 TONES = ["professional", "casual", "technical", "friendly"]
 FORMALITIES = ["formal", "neutral", "informal"]
-LOCALE_PAIRS = {
-    "en": [(t, f) for t in TONES for f in FORMALITIES],
-    "hi": [("professional", "formal"), ("professional", "neutral"), ("casual", "neutral"), ("casual", "informal"), ("friendly", "formal"), ("friendly", "neutral")],
-    "es": [("professional", "neutral"), ("casual", "informal")],
-    "fr": [("professional", "formal"), ("casual", "neutral")],
-    "de": [("professional", "neutral"), ("casual", "informal")],
-    "ja": [("professional", "formal"), ("casual", "neutral")],
-    "zh": [("professional", "neutral"), ("casual", "informal")],
-    "ko": [("professional", "formal"), ("casual", "neutral")],
-    "pt": [("professional", "neutral"), ("casual", "informal")],
-    "it": [("professional", "neutral"), ("casual", "informal")],
-    "ar": [("professional", "formal"), ("casual", "informal")],
-    "ru": [("professional", "neutral"), ("casual", "informal")],
-}
-LOCALES = [(lang, tone, formality) for lang, pairs in LOCALE_PAIRS.items() for tone, formality in pairs]
+LOCALES = [
+    ("en", "professional", "formal"),
+    ("en", "professional", "neutral"),
+    ("en", "professional", "informal"),
+    ("en", "casual", "formal"),
+    ("en", "casual", "neutral"),
+    ("en", "casual", "informal"),
+    ("en", "technical", "formal"),
+    ("en", "technical", "neutral"),
+    ("en", "technical", "informal"),
+    ("en", "friendly", "formal"),
+    ("en", "friendly", "neutral"),
+    ("en", "friendly", "informal"),
+    ("hi", "professional", "formal"),
+    ("hi", "professional", "neutral"),
+    ("hi", "casual", "neutral"),
+    ("hi", "casual", "informal"),
+    ("hi", "friendly", "formal"),
+    ("hi", "friendly", "neutral"),
+    ("es", "professional", "neutral"),
+    ("es", "casual", "informal"),
+    ("fr", "professional", "formal"),
+    ("fr", "casual", "neutral"),
+    ("de", "professional", "neutral"),
+    ("de", "casual", "informal"),
+    ("ja", "professional", "formal"),
+    ("ja", "casual", "neutral"),
+    ("zh", "professional", "neutral"),
+    ("zh", "casual", "informal"),
+    ("ko", "professional", "formal"),
+    ("ko", "casual", "neutral"),
+    ("pt", "professional", "neutral"),
+    ("pt", "casual", "informal"),
+    ("it", "professional", "neutral"),
+    ("it", "casual", "informal"),
+    ("ar", "professional", "formal"),
+    ("ar", "casual", "informal"),
+    ("ru", "professional", "neutral"),
+    ("ru", "casual", "informal"),
+]
+LANGUAGES = list(dict.fromkeys(lang for lang, _, _ in LOCALES))
 #: The library entry draws each axis by itself, from these languages.
 LIBRARY_LANGUAGES = ["en", "hi", "es", "fr", "de", "ja", "zh"]
 
@@ -54,7 +128,7 @@ CONFIGS = [
     ("ds6_hindi_hinglish", 1006, 1000, ["hi"], ["casual", "friendly"], ["informal", "neutral"]),
     ("ds7_easy_simple", 1007, 1000, ["en", "es", "fr"], ["friendly", "casual"], ["neutral"]),
     ("ds8_hard_expert", 1008, 1000, ["en"], ["technical", "professional"], ["formal"]),
-    ("ds9_all_langs", 1009, 1000, list(LOCALE_PAIRS), TONES, FORMALITIES),
+    ("ds9_all_langs", 1009, 1000, LANGUAGES, TONES, FORMALITIES),
     ("ds10_balanced", 2010, 1000, LIBRARY_LANGUAGES, ["professional", "casual"], FORMALITIES),
 ]
 
@@ -67,6 +141,7 @@ BASH_RULES = [
     ("df", [["df -h"]]), ("free", [["free -m"]]), ("ps", [["ps aux"]]), ("wc", [["wc -l"]]),
 ]
 
+#: Our own commands.
 _COMMANDS = [
     "git status -sb", "git log -n 3", "git diff --stat", "git add . && git status", "git commit -am wip", "git push -u origin topic", "git pull --rebase", "git branch --list",
     "git clone ssh://host/repo", "npm install left-pad", "npm run build", "npm test", "pip install numpy", "pip list", "python3 job.py", "pytest -q", "node index.js", "cargo build --release",
@@ -96,18 +171,39 @@ def _intents() -> list[tuple[str, int, str, str]]:
 INTENTS = _intents()
 REPAIRED = {"Read": "File_Read", "Write": "File_Write", "Edit": "File_Edit"}
 
-#: Closing sentences by language; the engine closes every answer with the sentence for `medium`, whatever the difficulty.
-_DONE = {"en": "The work is complete.", "hi": "Kaam ho chuka hai.", "es": "El trabajo ha terminado.", "fr": "Le travail est fini.", "de": "Die Arbeit ist beendet.", "ja": "Sagyou ga owarimashita.", "zh": "Gongzuo yi wancheng.", "ko": "Jageobi kkeutnatseumnida.", "ar": "Intaha al-amal.", "ru": "Rabota zakonchena.", "pt": "O trabalho terminou.", "it": "Il lavoro e finito."}
-_FAILED = {"en": "It did not work: ", "hi": "Yeh nahi hua: ", "es": "No funciono: ", "fr": "Cela a echoue : ", "de": "Es ging nicht: ", "ja": "Shippai shimashita: ", "zh": "Shibai le: ", "ko": "Silpaehaetseumnida: ", "ar": "Fashila: ", "ru": "Ne poluchilos: ", "pt": "Nao funcionou: ", "it": "Non ha funzionato: "}
-MESSAGES = [("success", d, lang, 0, text) for d in ("easy", "medium", "hard") for lang, text in _DONE.items()] + [("success", "medium", "en", 1, "That is finished.")] + [("error", "medium", lang, 0, text) for lang, text in _FAILED.items()]
+def _library_intents() -> list[tuple[str, int, str, str]]:
+    """The library entry's own 73 intents, of five tools; the others get `use <tool>`."""
+    made: dict[str, list[tuple[str, dict]]] = {
+        "Bash": [(f"shell step {i}: {c}", {"command": c, "timeout": 20}) for i, c in enumerate(_COMMANDS[:32])],
+        "File_Read": [(f"print the {t} module", {"file_path": f"lib/{t}.py"}) for t in _TOPICS],
+        "File_Write": [(f"store notes on {t}", {"file_path": f"notes/{t}.md", "content": f"# {t}\n"}) for t in _TOPICS[:8]],
+        "Web_Search": [(f"compare ways to do {t}", {"query": f"{t} comparison"}) for t in _TOPICS[:10]],
+        "Web_Fetch": [(f"get the {t} manual", {"url": f"https://example.org/manual/{t}"}) for t in _TOPICS[:8]],
+    }
+    return [(tool, i, q, json.dumps(a, ensure_ascii=False, separators=(",", ":"))) for tool, rows in made.items() for i, (q, a) in enumerate(rows)]
+
+
+LIBRARY_INTENTS = _library_intents()
+
+#: Closing sentences of our own, by difficulty and language (and number, where there are several); what follows a failure's colon is its text.
+#: A language without sentences of its own gets the English ones, a difficulty without any those for easy.
+SUCCESS_TEXTS = {
+    "easy": {"en": ["That worked.", "There you go."], "hi": ["Ho chuka.", "Bas ho gaya kaam."], "es": ["Ya funciona."], "fr": ["C'est bon."], "de": ["Das klappt."], "ja": ["Dekimashita."], "zh": ["Zuo hao le."], "ko": ["Doetseumnida."], "ar": ["Intaha."], "ru": ["Poluchilos."], "pt": ["Deu certo."], "it": ["Tutto bene."]},
+    "medium": {"en": ["The work is complete.", "That is finished."], "hi": ["Kaam ho chuka hai."], "es": ["El trabajo ha terminado."], "fr": ["Le travail est fini."], "de": ["Die Arbeit ist beendet."], "ja": ["Sagyou ga owarimashita."], "zh": ["Gongzuo yi wancheng."], "ko": ["Jageobi kkeutnatseumnida."], "ar": ["Intaha al-amal."], "ru": ["Rabota zakonchena."], "pt": ["O trabalho terminou."], "it": ["Il lavoro e finito."]},
+    "hard": {"en": ["Every step of it is through."], "hi": ["Har kadam poora hai."], "es": ["Todos los pasos estan listos."], "fr": ["Chaque etape est passee."], "de": ["Alle Schritte sind getan."], "ja": ["Subete no dankai ga owarimashita."], "zh": ["Mei yi bu dou wancheng le."], "ko": ["Modeun dangyega kkeutnatseumnida."], "ar": ["Kull al-khatawat tammat."], "ru": ["Vse shagi proydeny."], "pt": ["Todos os passos passaram."], "it": ["Ogni passo e fatto."]},
+}
+ERROR_TEXTS = {"en": ["It did not work: ", "This went wrong: "], "hi": ["Yeh nahi hua: "], "es": ["No funciono: "], "fr": ["Cela a echoue : "], "de": ["Es ging nicht: "], "ja": ["Shippai shimashita: "], "zh": ["Shibai le: "], "ko": ["Silpaehaetseumnida: "], "ar": ["Fashila: "], "ru": ["Ne poluchilos: "], "pt": ["Nao funcionou: "], "it": ["Non ha funzionato: "]}
+MESSAGES = [("success", d, lang, i, text) for d, texts in SUCCESS_TEXTS.items() for lang, variants in texts.items() for i, text in enumerate(variants)] + [("error", d, lang, i, text) for d in SUCCESS_TEXTS for lang, variants in ERROR_TEXTS.items() for i, text in enumerate(variants)]
 
 
 def tools(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, *t) for i, t in enumerate(TOOLS)], "pos int, tool_name string, category string, weight double, cause string, arguments array<struct<name:string,type:string,required:boolean>>")
+    """The registry, a row a tool; an argument's default is its JSON."""
+    rows = [(i, name, category, weight, cause, DESCRIPTIONS[name], [(a, t, r, ARGUMENT_DESCRIPTIONS[a], json.dumps(DEFAULTS[name, a]) if (name, a) in DEFAULTS else None) for a, t, r in arguments]) for i, (name, category, weight, cause, arguments) in enumerate(TOOLS)]
+    return spark.createDataFrame(rows, "pos int, tool_name string, category string, weight double, cause string, description string, arguments array<struct<name:string,type:string,required:boolean,description:string,default:string>>")
 
 
-def intents(spark: SparkSession, repair: bool = False) -> DataFrame:
-    rows = [(REPAIRED.get(t, t) if repair else t, i, q, a) for t, i, q, a in INTENTS]
+def intents(spark: SparkSession, repair: bool = False, library: bool = False) -> DataFrame:
+    rows = [(REPAIRED.get(t, t) if repair else t, i, q, a) for t, i, q, a in (LIBRARY_INTENTS if library else INTENTS)]
     return spark.createDataFrame(rows, "tool_name string, idx int, query string, arguments string")
 
 
@@ -116,6 +212,7 @@ def locales(spark: SparkSession) -> DataFrame:
 
 
 def messages(spark: SparkSession) -> DataFrame:
+    """kind, difficulty, language, idx, text of the closing sentences."""
     return spark.createDataFrame(MESSAGES, "kind string, difficulty string, language string, idx int, text string")
 
 

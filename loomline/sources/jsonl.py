@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import json
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.operators.render import MESSAGE, tool_schemas
+from loomline.operators.render import MESSAGE, function_schemas
+from loomline.sources import dimensions
 
 _S = T.StringType()
 LOCALE = T.StructType([T.StructField(n, T.BooleanType() if n == "humanize" else _S) for n in ("language", "tone", "formality", "humanize", "humanize_level")])
@@ -20,17 +22,22 @@ METADATA = T.StructType([T.StructField("difficulty", _S), T.StructField("tool_ca
 RECORD = T.StructType([T.StructField("messages", MESSAGE), T.StructField("localization", LOCALE), T.StructField("tools", TOOLS), T.StructField("metadata", METADATA)])
 
 
-def records(trajectories: DataFrame) -> DataFrame:
-    """The wire form: empty optional fields become null, which the writer leaves out; tools is one literal for all rows."""
+def wire_tools(spark: SparkSession) -> Column:
+    """The registry's function schemas as a literal; the same for every row."""
+    rows = sorted(function_schemas(dimensions.tools(spark)).select("pos", F.to_json("schema").alias("schema")).collect())
+    return F.from_json(F.lit(f"[{','.join(r['schema'] for r in rows)}]"), TOOLS)
+
+
+def records(trajectories: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The wire form: empty optional fields become null, which the writer leaves out; tools is one literal for all rows. keep: more columns."""
     empty_to_null = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), F.nullif(m["tool_call_id"], F.lit("")).alias("tool_call_id"), F.nullif(m["name"], F.lit("")).alias("name")))
-    tools = F.from_json(F.lit(json.dumps(tool_schemas())), TOOLS)
-    keep = [c for c in ("dataset", "split") if c in trajectories.columns]
-    return trajectories.select(empty_to_null.alias("messages"), "localization", tools.alias("tools"), "metadata", *keep)
+    tools = wire_tools(trajectories.sparkSession)
+    return trajectories.select(empty_to_null.alias("messages"), "localization", tools.alias("tools"), "metadata", *(keep or []))
 
 
 def write(trajectories: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """A folder of JSON Lines files, one folder below it for each value of partition_by; earlier contents are replaced."""
-    writer = records(trajectories).write.mode("overwrite")
+    writer = records(trajectories, partition_by).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
@@ -43,6 +50,27 @@ def write_bad_rows(issues: DataFrame, path: str) -> None:
     issues.where(F.size("issues") > 0).select("id", F.array_join("issues", "; ").alias("issues")).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_review_comments(codes: DataFrame, path: str) -> None:
+    """JSON Lines of id, turn, code, category and a comment, a line for each code that the critic gives."""
+    comment = F.concat(F.col("category"), F.lit(": "), F.lower(F.regexp_replace("code", "_", " ")))
+    codes.withColumn("comment", comment).write.mode("overwrite").json(path)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir), or in a temporary one in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="loomline-")
+    return f"{shared.rstrip('/')}/jsonl-{uuid.uuid4().hex}"
+
+
+def training_messages(messages: Column) -> Column:
+    """The (role, content) structs of messages, which trainers read."""
+    return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+
+
 def training_form(records: DataFrame) -> DataFrame:
-    """Records as text of (role, content) lines and the tools' JSON: the projection that trainers read."""
-    return records.select(F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"), F.to_json("tools").alias("tools"))
+    """Records as (role, content) messages and the tools' JSON: the projection that trainers read."""
+    return records.select(training_messages(F.col("messages")).alias("messages"), F.to_json("tools").alias("tools"))
