@@ -1,21 +1,22 @@
 """N-gram Jaccard join by a token-group matrix.
 
-Each document is the set of 64-bit hashes of its distinct word shingles; equal sets are one class, named by a 64-bit hash
-of the set, from here on. The join is exact (but for hash collisions):
+Each document is the set of 64-bit hashes of its distinct word shingles; equal sets are one class from here on, named by a 64-bit hash
+of the set, or where two sets have the same one by a hash that takes in 64 more bits. The join is exact (but for collisions of 64-bit
+shingles and 128-bit sets):
 
 1. A global order of tokens: rare ones first, by counts of all documents' tokens in a table of fixed size, then by hash.
    Two sets of similarity t or more share s tokens among the first |x| - ceil(t |x|) + s of each (the prefix filter);
    s grows with the set, so that passages or phrases that many texts have don't make them meet.
    Only classes near enough in size count. Classes with fewer prefix tokens in common with such others take no further part;
    the rest keep those of their common tokens that are rarest by exact counts over all these classes.
-2. Classes with an equal min-hash (of KEYS different ones) meet in chunks of at most CHUNK, where exact intersections are
-   computed as a matrix product; links join them. No chunk grows with the data. The chunks of the first min-hash are
-   the groups of similar documents.
-3. The token-group matrix holds each group's token union: distinct (prefix token, group). Joined with the tokens of the
-   classes outside the group, of like sizes, it bounds how much of a class a group can hold; only groups that reach the bound
-   are opened, and tokens that a group has only from the class's own component don't count.
-4. An opened group's members meet the classes that opened it, block by block, again as a matrix product: no pairs are
-   written but the links.
+2. Classes with an equal min-hash (of KEYS different ones) meet in chunks of about CHUNK, where exact intersections are
+   computed as a matrix product; links join them. No chunk grows with the data. A class's group is its chunk under
+   the min-hash that most classes have, so that many alike fill few groups.
+3. The token-group matrix holds each group's token union: distinct (prefix token, group). Joined with itself, it bounds what
+   two groups have in common; of groups that reach the bound, joined with the classes of the one, how much of each class the other
+   can hold. Only groups that reach this bound are opened, and tokens that a group has only from the class's own component don't count.
+4. An opened group's members meet the classes that opened it, in blocks of at most CHUNK that tasks share out, again as a matrix
+   product. Of a block's links only so many are written as lead from each class to the smallest that it is linked with, by whatever way.
 
 Links within and between groups give the components.
 """
@@ -56,8 +57,19 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     return [np.unique(shingles[a : b - words + 1]) if b - a >= words else short[b - a][a : a + 1] if b > a else np.zeros(0, np.uint64) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
-def _set_key(s: np.ndarray) -> int:
-    return int(mix(mix(s ^ _SALTS[0]).sum(keepdims=True) ^ mix(s + _SALTS[1]).sum(keepdims=True)).astype(np.int64)[0])
+def _set_keys(s: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """Two hashes of a set; the first one has `bits` bits."""
+    a, b = mix(s ^ _SALTS[0]), mix(s + _SALTS[1])
+    one, two = mix(a.sum(keepdims=True) ^ b.sum(keepdims=True)), mix(mix(a + b).sum(keepdims=True) + np.uint64(len(s)))
+    return int((one >> np.uint64(64 - bits)).view(np.int64)[0]), int(two.view(np.int64)[0])
+
+
+def told_apart(rows: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """rows (cls, check) without check; classes in shared, whose first hash is that of several sets, are named by both hashes."""
+    if shared is None:
+        return rows.drop("check")
+    rows = rows.join(F.broadcast(shared.select("cls", F.lit(True).alias("among"))), "cls", "left")
+    return rows.withColumn("cls", F.when(F.col("among"), F.xxhash64("cls", "check")).otherwise(F.col("cls"))).drop("among", "check")
 
 
 def needed(n: int, percent: int) -> int:
@@ -95,8 +107,8 @@ def bucket_levels(docs: DataFrame, words: int) -> np.ndarray:
     return np.maximum(0, np.floor(np.log2(np.maximum(sums, 1) / usual))).astype(np.uint8)
 
 
-def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, cls, n (the set's hash and size) and its prefix tokens in the global order."""
+def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray, bits: int = 64) -> DataFrame:
+    """doc_id, cls, check, n (the set's hashes and size) and its prefix tokens in the global order."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,27 +120,28 @@ def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) -> D
                     order = (sent.value[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix(s ^ _SALTS[2]) >> np.uint64(8))
                     most = n - needed(n, percent) + overlap(n, percent)
                     keep = np.argpartition(order, most - 1)[:most] if n else np.zeros(0, np.int64)
-                    keys.append(_set_key(s))
+                    keys.append(_set_keys(s, bits))
                     sizes.append(n)
                     tokens.append(s[keep].view(np.int64))
                 flat = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(t) for t in tokens])].astype(np.int32)), pa.array(np.concatenate(tokens)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), flat], ["doc_id", "cls", "n", "prefix"])
+                cls, check = np.array(keys, np.int64).reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cls), pa.array(check), pa.array(sizes, pa.int64()), flat], ["doc_id", "cls", "check", "n", "prefix"])
 
-    return docs.mapInArrow(cut, "doc_id long, cls long, n long, prefix array<long>")
+    return docs.mapInArrow(cut, "doc_id long, cls long, check long, n long, prefix array<long>")
 
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """cls, n, keys (KEYS min-hashes) and the whole set, as sorted unsigned 64-bit numbers, of each row."""
+def full_sets(docs: DataFrame, words: int, bits: int = 64) -> DataFrame:
+    """cls, check, n, keys (KEYS min-hashes) and the whole set, as sorted unsigned 64-bit numbers, of each row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in text_slices(batch):
-                rows = [(_set_key(s), len(s), [int(mix(s ^ salt).min().astype(np.int64)) for salt in (_SALTS[2] + np.uint64(1), _SALTS[3], _SALTS[4])], s.tobytes()) for s in shingle_sets(data, offsets, words) if len(s)]
+                rows = [(*_set_keys(s, bits), len(s), [int(mix(s ^ salt).min().astype(np.int64)) for salt in (_SALTS[2] + np.uint64(1), _SALTS[3], _SALTS[4])], s.tobytes()) for s in shingle_sets(data, offsets, words) if len(s)]
                 if rows:
                     columns = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], ["cls", "n", "keys", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], ["cls", "check", "n", "keys", "tokens"])
 
-    return docs.mapInArrow(make, "cls long, n long, keys array<long>, tokens binary")
+    return docs.mapInArrow(make, "cls long, check long, n long, keys array<long>, tokens binary")
 
 
 def token_ranges(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -200,25 +213,38 @@ def _add_met(both: np.ndarray, queries: list[np.ndarray], members: list[np.ndarr
 
 
 def link_blocks(queries: list[np.ndarray], members: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (query's index, member's index)."""
-    both = np.zeros((len(queries), len(members)), np.int64)
+    """Of queries and members, numbered one after the other: (number, smallest number that links lead to) for each that has a link and isn't that
+    number itself. So many rows at most as there are sets, however many of them link."""
+    q = len(queries)
+    both = np.zeros((q, len(members)), np.int64)
     for part in token_ranges(queries + members):
-        _add_met(both, part[: len(queries)], part[len(queries) :])
-    sizes = np.array([len(q) for q in queries])[:, None] + np.array([len(m) for m in members])[None, :]
-    return [(int(i), int(j)) for i, j in np.argwhere(100 * both >= percent * (sizes - both))]
+        _add_met(both, part[:q], part[q:])
+    sizes = np.array([len(x) for x in queries])[:, None] + np.array([len(m) for m in members])[None, :]
+    linked = 100 * both >= percent * (sizes - both)
+    last = q + len(members)
+    roots, own = np.arange(q), np.arange(q, last)
+    while linked.any():
+        of_member = np.minimum(own, np.where(linked, roots[:, None], last).min(axis=0))
+        of_query = np.minimum(roots, np.where(linked, of_member[None, :], last).min(axis=1))
+        if (of_member == own).all() and (of_query == roots).all():
+            break
+        roots, own = of_query, of_member
+    return [(i, int(r)) for i, r in enumerate(np.r_[roots, own]) if i != r]
 
 
 def chunks_of(sets: DataFrame) -> DataFrame:
-    """cls, chunks (which, mark, chunk): where a class meets others with an equal min-hash."""
+    """cls, chunks (which, mark, chunk): where a class meets others with an equal min-hash; grp, the chunk of the most common one."""
     keyed = sets.select("cls", F.posexplode("keys").alias("which", "mark"))
     sizes = staged(keyed.groupBy("which", "mark").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "marks")
     chunk = F.pmod(F.xxhash64("cls", "which"), F.ceil(F.col("size") / CHUNK)).cast("int").alias("chunk")
-    return keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"))  # KEYS a class at most
+    largest = F.max(F.struct("size", "which", "mark", chunk)).alias("largest")
+    met = keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"), largest)  # KEYS a class at most
+    return met.select("cls", "chunks", F.xxhash64("largest.which", "largest.mark", "largest.chunk").alias("grp"))
 
 
 def group_links(sets: DataFrame, plan: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes that share a min-hash and met in a chunk."""
-    dealt = sets.select("cls", "tokens").join(plan, "cls").select("cls", "tokens", F.inline("chunks"))
+    dealt = sets.select("cls", "tokens").join(plan.select("cls", "chunks"), "cls").select("cls", "tokens", F.inline("chunks"))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []
@@ -242,18 +268,23 @@ def group_links(sets: DataFrame, plan: DataFrame, percent: int) -> DataFrame:
 
 def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes (cls, other: the group to open) and the groups' members (cls, grp), by exact intersection."""
-    asked = opened.join(sets, "cls").select(F.col("other").alias("grp"), F.lit(1).alias("part"), "cls", "tokens")
-    held = members.join(opened.select(F.col("other").alias("grp")).distinct(), "grp").join(sets, "cls").select("grp", F.lit(0).alias("part"), "cls", "tokens")
+    # so many blocks of askers has each group; its members, CHUNK or so, go to all of them
+    blocks = staged(opened.groupBy(F.col("other").alias("grp")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("blocks")), "blocks")
+    asked = opened.withColumnRenamed("other", "grp").join(blocks, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
+    asked = asked.join(sets, "cls").select("grp", "block", F.lit(1).alias("part"), "cls", "tokens")
+    held = members.join(blocks, "grp").select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    held = held.join(sets, "cls").select("grp", "block", F.lit(0).alias("part"), "cls", "tokens")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, own, asking = None, [], []
 
         def meet() -> Iterator[pa.RecordBatch]:
             if own and asking and (found := link_blocks([s for _, s in asking], [s for _, s in own], percent)):
-                yield pa.RecordBatch.from_arrays([pa.array([asking[i][0] for i, _ in found], pa.int64()), pa.array([own[j][0] for _, j in found], pa.int64())], ["a", "b"])
+                names = [cls for cls, _ in asking + own]
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i, _ in found], pa.int64()), pa.array([names[r] for _, r in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for grp, part, cls, tokens in zip(batch.column("grp").to_pylist(), batch.column("part").to_pylist(), batch.column("cls").to_pylist(), batch.column("tokens"), strict=True):
+            for grp, part, cls, tokens in zip(zip(batch.column("grp").to_pylist(), batch.column("block").to_pylist(), strict=True), batch.column("part").to_pylist(), batch.column("cls").to_pylist(), batch.column("tokens"), strict=True):
                 if grp != group or len(asking) == CHUNK:
                     yield from meet()
                     asking = []
@@ -262,7 +293,7 @@ def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent
                 (asking if part else own).append((cls, np.frombuffer(tokens.as_py(), np.uint64)))
         yield from meet()
 
-    return held.unionByName(asked).repartition("grp").sortWithinPartitions("grp", "part", "cls").mapInArrow(links, "a long, b long")
+    return held.unionByName(asked).repartition("grp", "block").sortWithinPartitions("grp", "block", "part", "cls").mapInArrow(links, "a long, b long")
 
 
 def shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
@@ -315,15 +346,17 @@ def rarest(held: DataFrame, percent: int) -> DataFrame:
     return ordered.withColumn("tokens", F.slice("tokens", F.lit(1), F.expr(f"cast(size(tokens) - {least_overlap('n', percent)} + {few('n', percent)} AS int)")))
 
 
-def with_class(docs: DataFrame, words: int) -> DataFrame:
-    """docs with the class of each row's set (its hash) as _cls."""
+def with_class(docs: DataFrame, words: int, bits: int = 64) -> DataFrame:
+    """cls and check, the hashes of each row's set, beside the row as one struct, doc."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in text_slices(batch):
-                yield part.append_column("_cls", pa.array([_set_key(s) for s in shingle_sets(data, offsets, words)], pa.int64()))
+                cls, check = np.array([_set_keys(s, bits) for s in shingle_sets(data, offsets, words)], np.int64).reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(cls), pa.array(check)], ["doc", "cls", "check"])
 
-    return docs.mapInArrow(add, T.StructType([*docs.schema, T.StructField("_cls", T.LongType())]))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
+    return rows.mapInArrow(add, T.StructType([rows.schema["doc"], T.StructField("cls", T.LongType()), T.StructField("check", T.LongType())]))
 
 
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -333,14 +366,21 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     doc_id. A row with a null doc_id belongs to the component of the rows with the same set, or has null. Repeated rows
     come out as often as they came in; an empty table gives an empty result.
     """
-    return class_components(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+    return class_components(docs, words, percent)[0].select("doc_id", "n_shingles", "component_id")
 
 
-def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """similar_components(), with the class of each row's set, cls, and one class of its component for all rows of it, root."""
+def class_components(docs: DataFrame, words: int, percent: int, bits: int = 64) -> tuple[DataFrame, DataFrame | None]:
+    """similar_components(), with the class of each row's set, cls, and one class of its component for all rows of it, root; and
+    the first hashes that several sets have, if any. bits: of the first hash (fewer in tests, so that sets share one)."""
     base = id_and_text(docs)
-    table = staged(prefixes(base, words, percent, bucket_levels(base, words)), "prefixes")
-    classes = staged(table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc")), "classes")
+    table = staged(prefixes(base, words, percent, bucket_levels(base, words), bits), "prefixes")
+    of_class = [F.first("n").alias("n"), F.min("doc_id").alias("first_doc")]
+    classes = staged(table.where("n > 0").groupBy("cls").agg(*of_class, (F.min("check") != F.max("check")).alias("several")), "classes")
+    shared = None
+    if not classes.where("several").isEmpty():
+        shared = staged(classes.where("several").select("cls"), "classes-of-several-sets")
+        table = staged(told_apart(table, shared), "prefixes")
+        classes = staged(table.where("n > 0").groupBy("cls").agg(*of_class), "classes")
     met = staged(shared_tokens(table.where("n > 0").select("cls", "n", F.explode("prefix").alias("token")), percent), "met")
     # classes that go take their tokens along, which leaves others with too few
     for _ in range(ROUNDS):
@@ -350,23 +390,26 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     live = staged(rarest(held, percent).join(classes.select("cls", "first_doc").where("first_doc IS NOT NULL"), "cls"), "live")
 
     ids = staged(live.select(F.col("first_doc").alias("doc_id")).distinct(), "live-ids")
-    sets = full_sets(with_known_ids(base, ids, ids.count()).select("doc_id", "text"), words)
+    sets = told_apart(full_sets(with_known_ids(base, ids, ids.count()).select("doc_id", "text"), words, bits), shared)
     sets = sets.join(live.select("cls"), "cls", "left_semi").groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "keys", "tokens")])
     sets = staged(sets, "sets")
 
     plan = staged(chunks_of(sets), "chunks")
     linked = staged(components(staged(group_links(sets, plan, percent), "links")), "linked")
-    first = F.filter("chunks", lambda c: c["which"] == 0)
-    groups = live.select("cls", "n").join(plan.where(F.size(first) > 0).select("cls", F.xxhash64(first[0]["mark"], first[0]["chunk"]).alias("grp")), "cls", "left")
+    groups = live.select("cls", "n").join(plan.select("cls", "grp"), "cls", "left")
     groups = groups.join(linked.select(F.col("node").alias("cls"), "root"), "cls", "left").select("cls", "n", F.coalesce("grp", "cls").alias("grp"), F.coalesce("root", "cls").alias("comp"))
     groups = staged(groups, "groups")
     # sizes of similar sets are in one band or in neighbouring ones
     band = F.floor(F.log(F.col("n").cast("double")) / (log(100 / percent) + 1e-9)).cast("int")
-    grouped = staged(live.select("cls", F.explode("tokens").alias("token")).join(groups, "cls").withColumn("band", band), "grouped")
-    matrix = staged(grouped.groupBy("token", "band", F.col("grp").alias("other")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "matrix")
-    asked = grouped.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    met_groups = asked.join(matrix, ["token", "band"]).where("other < grp AND NOT (low = high AND low = comp)")
-    opened = staged(met_groups.groupBy("cls", "n", "other").agg(F.count_distinct("token").alias("c")).where(F.expr(f"c >= {few(f'(({percent} * n + 99) div 100)', percent)}")).select("cls", "other"), "opened")
+    least = F.expr(few(f"(({percent} * n + 99) div 100)", percent))  # tokens that a class must share with a group
+    grouped = staged(live.select("cls", F.explode("tokens").alias("token")).join(groups, "cls").withColumn("band", band).withColumn("least", least), "grouped")
+    matrix = staged(grouped.groupBy("token", "band", "grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("least").alias("least")), "matrix")
+    others = matrix.select("token", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), F.col("grp").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    met = staged(matrix.join(others, ["token", "band"]).where("other < grp AND NOT (low = high AND low = other_low AND low = other_high)"), "met-groups")
+    enough = met.groupBy("grp", "other").agg(F.count_distinct("token").alias("c"), F.min("least").alias("least")).where("c >= least").select("grp", "other")
+    met = met.join(enough, ["grp", "other"], "left_semi").select("grp", "token", "band", "other", "other_low", "other_high")
+    met = grouped.join(met, ["grp", "token", "band"]).where("NOT (other_low = other_high AND other_low = comp)")
+    opened = staged(met.groupBy("cls", "least", "other").agg(F.count_distinct("token").alias("c")).where("c >= least").select("cls", "other"), "opened")
     between = opened_links(opened, groups.select("cls", "grp"), sets.select("cls", "tokens"), percent)
     links = between.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
@@ -375,8 +418,9 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     joined = staged(joined.join(classes.select("cls", "first_doc"), "cls"), "joined")
     least = staged(joined.groupBy("root").agg(F.min("first_doc").alias("component")), "least")
     named = staged(joined.join(least, "root").select("cls", "component", "root"), "named")
-    final = staged(classes.join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id"), F.coalesce("root", "cls").alias("root")), "components")
-    return table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
+    final = staged(classes.select("cls", "first_doc").join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id"), F.coalesce("root", "cls").alias("root")), "components")
+    out = table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
+    return out, shared
 
 
 def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -385,15 +429,17 @@ def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     Rows without words link with nothing and stay, as do rows with a null doc_id, which no id can name. Where an id repeats, each of its
     rows is told by its set as well; of rows with one id and one set one stays.
     """
-    found = staged(class_components(docs, words, percent), "similar")
+    found, shared = class_components(docs, words, percent)
+    found = staged(found, "similar")
     gone = staged(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     out = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
     again = staged(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"), "ids-that-repeat")
     if again.isEmpty():
         return out
     told = found.join(again, "doc_id", "left_semi")
-    stay = told.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id", "root").agg(F.min("cls").alias("_cls")).select("doc_id", "_cls")
-    stay = stay.unionByName(told.where("n_shingles = 0").select("doc_id", F.col("cls").alias("_cls"))).distinct()
-    rows = with_class(docs.join(again, "doc_id", "left_semi").select(*docs.columns), words)
-    one = rows.join(stay, ["doc_id", "_cls"], "left_semi").dropDuplicates(["doc_id", "_cls"])
-    return out.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+    stay = told.where("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id", "root").agg(F.min("cls").alias("cls")).select("doc_id", "cls")
+    stay = stay.unionByName(told.where("n_shingles = 0").select("doc_id", "cls")).distinct()
+    rows = told_apart(with_class(docs.join(again, "doc_id", "left_semi").select(*docs.columns), words), shared)
+    rows = rows.select("doc", "cls", F.col("doc.doc_id").cast("long").alias("doc_id"))
+    one = rows.join(stay, ["doc_id", "cls"], "left_semi").dropDuplicates(["doc_id", "cls"])
+    return out.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("doc.*"))
