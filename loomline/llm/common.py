@@ -54,6 +54,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """The name, with as many underscores after it as it needs to be none of the columns'."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n; a null id falls to bucket 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
@@ -137,16 +145,28 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
     Spans of one length of up to eight bytes never share a hash.
     """
+    return _span_hashes(data, starts, ends, 1)[0]
+
+
+def span_hash_pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """span_hashes() and a second hash of 64 bits that has nothing to do with the first: together they tell words apart."""
+    one, two = _span_hashes(data, starts, ends, 2)
+    return one, two
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, many: int) -> list[np.ndarray]:
     if not len(starts):
-        return np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64)] * many
     eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))  # the eight bytes from each byte on
     length = (ends - starts).astype(np.int64)
     parts = np.maximum(1, (length + 7) >> 3)
     first = np.cumsum(parts) - parts
-    k = np.arange(len(first) and first[-1] + parts[-1]) - np.repeat(first, parts)
+    k = np.arange(first[-1] + parts[-1]) - np.repeat(first, parts)
     at = np.repeat(starts, parts) + 8 * k
     x = eights[at] & _FIRST_BYTES[np.minimum(8, np.repeat(length, parts) - 8 * k)]
-    return mix(np.add.reduceat(mix(x + (k + 1).astype(np.uint64) * _GOLDEN), first) + length.astype(np.uint64))
+    place = (k + 1).astype(np.uint64) * _GOLDEN
+    mixed = [mix(x + place), mix((x ^ np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xA0761D6478BD642F) + place)][:many]
+    return [mix(np.add.reduceat(m, first) + length.astype(np.uint64)) for m in mixed]
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -178,8 +198,47 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The spans as a binary Arrow array."""
-    lengths = ends - starts
-    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int64)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[ragged(starts, lengths)]))])
+class Memo:
+    """A bounded map from words, told apart by two hashes of 64 bits, to short rows of numbers, as sorted arrays; it starts anew when full."""
+
+    def __init__(self, kind: type, most: int = 1_500_000):
+        self.kind, self.most = kind, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.lengths, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, self.kind)
+
+    def make_room(self, n: int) -> None:
+        if len(self.keys) + n > self.most:
+            self.clear()
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word its index, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> None:
+        """keys: sorted. Of words with one first hash the first is kept."""
+        starts = np.cumsum(lengths) - lengths + len(self.flat)
+        at = np.searchsorted(self.keys, keys)
+        new = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+        if len(self.keys):
+            new &= self.keys[np.minimum(at, len(self.keys) - 1)] != keys
+        at = at[new]
+        self.keys, self.checks = np.insert(self.keys, at, keys[new]), np.insert(self.checks, at, checks[new])
+        self.starts = np.insert(self.starts, at, starts[new].astype(np.int32))
+        self.lengths = np.insert(self.lengths, at, lengths[new].astype(np.int32))
+        self.flat = np.concatenate([self.flat, flat.astype(self.kind)])
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the spans: the distinct ones' two hashes, sorted, an example's index for each, and for each span the index of its own."""
+    one, two = span_hash_pairs(data, starts, ends)
+    keys, example, back = np.unique(one, return_index=True, return_inverse=True)
+    if (two != two[example][back]).any():  # two words with one first hash
+        pairs, example, back = np.unique(np.column_stack([one, two]), axis=0, return_index=True, return_inverse=True)
+        keys, back = pairs[:, 0], back.ravel()
+    return keys, two[example], example, back

@@ -6,7 +6,7 @@ a slice are merged by the library. A word here is a run of spaces with the lette
 has a space mark after another character (checked on loading), so no merge can cross the start of such a run and
 the counts of the words add up to the count of the text.
 
-Words are told apart by their bytes, never by hashes.
+Words are told apart by two hashes of 64 bits each.
 """
 
 from __future__ import annotations
@@ -20,11 +20,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loomline.llm.common import id_and_text, ragged, spans, text_slices, word_array
+from loomline.llm.common import Memo, distinct_words, id_and_text, ragged, spans, text_slices
 
 MARK = "▁"
-#: Distinct words whose counts or ids a worker keeps between slices; when there are more it starts anew.
-KEPT_WORDS = 250_000
 _ONLY_SPACE = np.zeros(256, dtype=bool)
 _ONLY_SPACE[32] = True
 
@@ -37,29 +35,27 @@ def _pieces(path: str):
 
 
 @lru_cache(maxsize=2)
-def whole_tokens(path: str) -> frozenset[bytes]:
-    """The words that encode alone as one token; raises if words can't be counted one by one."""
+def whole_tokens(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The two hashes of the words that encode alone as one token, sorted; raises if words can't be counted one by one."""
     model = _pieces(path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     if any(MARK in p.lstrip(MARK) for p in pieces):
         raise ValueError("a vocabulary string goes across a space; words of this model can't be counted one by one")
     words = [p[1:] for p in pieces if p.startswith(MARK) and len(p) > 1 and MARK not in p[1:] and " " not in p]
-    return frozenset(w.encode() for w, ids in zip(words, model.encode(words, num_threads=1), strict=True) if len(ids) == 1)
+    words = [w for w, ids in zip(words, model.encode(words, num_threads=1), strict=True) if len(ids) == 1]
+    ends = np.cumsum([len(w.encode()) for w in words])
+    return distinct_words(np.frombuffer("".join(words).encode(), np.uint8), np.r_[0, ends[:-1]], ends)[:2]
 
 
-_counts: dict[str, dict[bytes, int]] = {}
+_counts: dict[str, Memo] = {}
 
 
-def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct spans, and for each span the index of its own."""
-    coded = word_array(data, starts, ends).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
-
-
-def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: frozenset[bytes]) -> np.ndarray:
+def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Tokens of each row."""
     model = _pieces(path)
-    memo = _counts.setdefault(path, {})
+    if path not in _counts:
+        _counts[path] = Memo(np.uint32)
+    memo = _counts[path]
     starts, ends, first = spans(data, offsets, _ONLY_SPACE)
     total = np.zeros(len(offsets) - 1, np.int64)
     before = np.r_[0, ends[:-1]] if len(ends) else ends
@@ -68,12 +64,21 @@ def _piece_counts(data: np.ndarray, offsets: np.ndarray, path: str, whole: froze
     leads = np.zeros(len(starts), bool)
     leads[first[:-1][first[:-1] < first[1:]]] = True
     extra = np.where(leads, spaces, spaces - 1)  # the library itself puts one space in front
-    words, back = _distinct(data, starts - extra, ends)
-    if len(memo) + len(words) > KEPT_WORDS:
-        memo.clear()
-    if new := [w for w in words if w not in whole and w not in memo]:
-        memo.update(zip(new, map(len, model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)), strict=True))
-    n = np.fromiter((1 if w in whole else memo[w] for w in words), np.int64, len(words))
+    keys, checks, example, back = distinct_words(data, starts - extra, ends)
+    memo.make_room(len(keys))
+    n = np.zeros(len(keys), np.int64)
+    if len(whole[0]):
+        at = np.minimum(np.searchsorted(whole[0], keys), len(whole[0]) - 1)
+        n[(whole[0][at] == keys) & (whole[1][at] == checks)] = 1
+    rest = np.flatnonzero(n == 0)
+    at, known = memo.find(keys[rest], checks[rest])
+    n[rest[known]] = memo.flat[memo.starts[at[known]]]
+    rest = rest[~known]
+    if len(rest):
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip((starts - extra)[example[rest]].tolist(), ends[example[rest]].tolist(), strict=True)]
+        n[rest] = [len(x) for x in model.encode(texts, num_threads=1)]
+        memo.add(keys[rest], checks[rest], np.ones(len(rest), np.int64), n[rest])
     sums = np.r_[0, np.cumsum(n[back])]
     total += sums[first[1:]] - sums[first[:-1]]
     mark = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)) if len(data) > 2 else []
@@ -145,25 +150,32 @@ def word_encoder(path: str) -> Callable[[str], list[int]]:
     return encode
 
 
-_ids: dict[str, dict[bytes, bytes]] = {}
+_ids: dict[str, Memo] = {}
 
 
 def encode_ids(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows in one array (uint32), and the offsets of the rows in it."""
+    """Ids of all rows in one array, and the offsets of the rows in it."""
     encode = word_encoder(path)
-    memo = _ids.setdefault(path, {})
+    if path not in _ids:
+        _ids[path] = Memo(np.uint16 if _tokenizer(path).get_vocab_size() <= 1 << 16 else np.uint32)
+    memo = _ids[path]
     starts, ends, first = spans(data, offsets)
-    words, back = _distinct(data, starts, ends)
-    if len(memo) + len(words) > KEPT_WORDS:
-        memo.clear()
-    for w in words:
-        if w not in memo:
-            memo[w] = np.array(encode(w.decode("utf-8", "replace")), "<u4").tobytes()
-    lists = [memo[w] for w in words]
-    of_word = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-    lengths = of_word[back]
-    ids = np.frombuffer(b"".join(lists), "<u4")[ragged((np.cumsum(of_word) - of_word)[back], lengths)]
-    return ids, np.r_[0, np.cumsum(lengths)][first]
+    keys, checks, example, back = distinct_words(data, starts, ends)
+    memo.make_room(len(keys))
+    at, known = memo.find(keys, checks)
+    begin, lengths = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    begin[known], lengths[known] = memo.starts[at[known]], memo.lengths[at[known]]
+    flat = memo.flat
+    new = np.flatnonzero(~known)
+    if len(new):
+        raw = data.tobytes()
+        lists = [encode(raw[a:b].decode("utf-8", "replace")) for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist(), strict=True)]
+        lengths[new] = np.fromiter(map(len, lists), np.int64, len(lists))
+        begin[new] = np.cumsum(lengths[new]) - lengths[new] + len(flat)
+        memo.add(keys[new], checks[new], lengths[new], np.fromiter((x for ids in lists for x in ids), memo.kind, int(lengths[new].sum())))
+        flat = memo.flat
+    lengths = lengths[back]
+    return flat[ragged(begin[back], lengths)], np.r_[0, np.cumsum(lengths)][first]
 
 
 def crc32_of_ids(ids: np.ndarray) -> int:
