@@ -142,7 +142,8 @@ def taken_pieces(mix: Mix) -> DataFrame:
     Blocks join by index."""
     b = mix.block
     pieces = mix.rows.where("size > 0").select("row", "key", "start", "size", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
-    met = pieces.join(mix.slots.select("shard", "slot", "key", "block", "pass", "take"), ["key", "block"])
+    # by sorting both sides: Spark takes the slots for as few as the cells that they are exploded from, but they grow with the corpus
+    met = pieces.join(mix.slots.select("shard", "slot", "key", "block", "pass", "take").hint("merge"), ["key", "block"])
     origin = F.col("block") * b
     first, last = F.greatest(F.col("start"), origin), F.least(F.col("start") + F.col("size"), origin + F.col("take"))
     return met.where(last > first).select("shard", "slot", "row", "pass", "block", (first - F.col("start")).alias("from_word"), (last - F.col("start")).alias("to_word"))
