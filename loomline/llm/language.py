@@ -1,12 +1,14 @@
 """Language identification by rank-order profiles.
 
-A profile is the list of a language's most frequent n-grams (1 to 3 bytes of UTF-8, within words, lower case), most frequent first.
+A profile is the list of a language's most frequent n-grams (1 to 3 letters, within words, lower case), most frequent first. Letters are
+those of any script, and marks; words are what is between other characters, and an n-gram may take in the blank before and after its word.
 A document gets a list of its own; its distance to a language is the sum, over its n-grams, of how far each is out
 of place in the profile, with the profile's length for those that are not in it.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,34 +16,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import bounded_batches, crc_bucket, lower_ascii, text_slices
+from loomline.llm.common import bounded_batches, crc_bucket, text_slices
 
 PROFILE = 300
 UNKNOWN = "und"
 
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[97:123] = True
-_LETTER[128:] = True
+#: For each character what it counts as: 0 not looked up yet, 32 for what is no letter or mark, else itself in lower case. Filled as characters occur.
+_FOLDED = np.zeros(0x110000, np.uint32)
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams as numbers, and the index of each one's first byte; words are between bytes that are no letters."""
-    data = lower_ascii(data)
-    accent = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)) + 1 if len(data) else np.zeros(0, np.int64)
-    data[accent] += 0x20
-    padded = np.full(len(data) + len(offsets) + 1, 32, np.uint32)  # a blank before each row and at the end
-    at = np.arange(len(data)) + np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
-    padded[at] = np.where(_LETTER[data], data, 32)
+def _folded(text: str) -> np.ndarray:
+    """The text's characters as numbers, as _FOLDED has them."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    folded = _FOLDED[points]
+    if not folded.all():
+        for x in np.unique(points[folded == 0]).tolist():
+            small = chr(x).lower()
+            _FOLDED[x] = 32 if unicodedata.category(chr(x))[0] not in "LM" else ord(small) if len(small) == 1 else x
+        folded = _FOLDED[points]
+    return folded
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All n-grams as numbers, the index of each one's first letter, and where each row begins, among characters with a blank before each row."""
+    starts = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][offsets]  # rows, in characters
+    folded = _folded(data.tobytes().decode("utf-8", "replace"))
+    padded = np.full(len(folded) + len(starts) + 1, 32, np.int64)  # a blank before each row and at the end
+    padded[np.arange(len(folded)) + np.repeat(np.arange(1, len(starts)), np.diff(starts))] = folded
     a, b, c = padded[:-2], padded[1:-1], padded[2:]
     one = np.flatnonzero(b != 32)
     two = np.flatnonzero((a != 32) | (b != 32))
-    grams = np.concatenate([b[one], (a[two] << 8) + b[two] + (1 << 24), (a[one] << 16) + (b[one] << 8) + c[one] + (2 << 24)])
-    return grams, np.concatenate([one, two, one])
+    grams = np.concatenate([b[one], (a[two] << 21) | b[two], (a[one] << 42) | (b[one] << 21) | c[one]])
+    return grams, np.concatenate([one, two, one]), starts + np.arange(len(starts))
 
 
-def _row_of(where: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The row that a gram at this index of the padded bytes belongs to."""
-    return np.searchsorted(offsets + np.arange(len(offsets)), where, "right") - 1
+def _row_of(where: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The row that a gram at this index belongs to."""
+    return np.searchsorted(rows, where, "right") - 1
 
 
 def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
@@ -54,9 +65,9 @@ def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for part, data, offsets in text_slices(batch):
-                grams, where = _grams(data, offsets)
+                grams, where, rows = _grams(data, offsets)
                 langs = np.array(part.column("lang").to_pylist(), object)
-                rows = _row_of(where, offsets)
+                rows = _row_of(where, rows)
                 for lang in set(langs):
                     g, n = np.unique(grams[(langs == lang)[np.minimum(rows, len(langs) - 1)]], return_counts=True)
                     if lang in sums:
@@ -64,10 +75,10 @@ def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
                         n = np.bincount(back, np.r_[sums[lang][1], n]).astype(np.int64)
                     sums[lang] = g, n
         for lang, (g, n) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.astype(np.int32)), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n, pa.int64())], ["lang", "gram", "n"])
 
     bounded_batches(docs.sparkSession)
-    counts = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(count, "lang string, gram int, n long")
+    counts = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(count, "lang string, gram long, n long")
     totals = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     out: dict[str, list[int]] = {}
@@ -79,14 +90,15 @@ def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
 def out_of_place(texts: tuple[np.ndarray, np.ndarray], langs: dict[str, list[int]], length: int = PROFILE) -> tuple[np.ndarray, np.ndarray]:
     """For each row its distance to each language and the greatest distance it could have."""
     data, offsets = texts
-    known = np.unique(np.array([g for p in langs.values() for g in p], np.uint32))
+    known = np.unique(np.array([g for p in langs.values() for g in p], np.int64))
     ranks = np.full((len(known) + 1, len(langs)), length, np.int64)
     for j, p in enumerate(langs.values()):
-        ranks[np.searchsorted(known, np.array(p, np.uint32)), j] = np.arange(len(p))
-    grams, where = _grams(data, offsets)
-    order = np.argsort(_row_of(where, offsets), kind="stable")
+        ranks[np.searchsorted(known, np.array(p, np.int64)), j] = np.arange(len(p))
+    grams, where, rows = _grams(data, offsets)
+    of_row = _row_of(where, rows)
+    order = np.argsort(of_row, kind="stable")
     grams = grams[order]
-    cuts = np.searchsorted(_row_of(where, offsets)[order], np.arange(len(offsets)))
+    cuts = np.searchsorted(of_row[order], np.arange(len(offsets)))
     distance = np.zeros((len(offsets) - 1, len(langs)))
     most = np.zeros(len(offsets) - 1)
     for i in range(len(offsets) - 1):
