@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.common import bounded_batches, crc_bucket, id_and_text, span_hashes, spans, text_slices
+from loomline.llm.common import bounded_batches, crc_bucket, id_and_text, span_hashes, spans, text_slices, unused
 
 #: Labelled rows of either label that the model is fitted on, at most.
 SAMPLE = 1500
@@ -134,6 +134,7 @@ def classify(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1
 
 
 def accepted(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
-    """The rows of docs, with all their columns, that classify() predicts to be of label 1."""
+    """The rows of docs, with all their columns, that classify() predicts to be of label 1; none of an empty table."""
     voters = fit(docs, labels_by_id(labels).where(crc_bucket(F.col("doc_id"), modulus) != held))
-    return score(docs, voters, docs.columns, "_vote").where("_vote >= 0.5").drop("_vote")
+    vote = unused(docs.columns, "vote")
+    return score(docs, voters, docs.columns, vote).where(F.col(vote) >= 0.5).drop(vote)
