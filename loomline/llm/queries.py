@@ -67,10 +67,39 @@ FROM normal
 """
 
 
+# Documents link where 100 * intersection >= 90 * union of their sets of three words; components by taking links to the smallest doc_id until none is new.
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words
+), each AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.t = b.t AND a.doc_id <> b.doc_id AND 100 * b.n >= 90 * a.n AND 100 * a.n >= 90 * b.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(doc_id, other) AS (SELECT a, a FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, coalesce(least(sets.doc_id, min(other)), sets.doc_id) AS component_id FROM sets LEFT JOIN reach USING (doc_id) GROUP BY sets.doc_id, s
+"""
+
+# The words of all runs of 50 words that another document has too, as ranges.
+OP9_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(text, '[^ \t\n\x0B\f\r]+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), runs AS (
+  SELECT doc_id, unnest(range(0, len(w) - 49)) AS a, unnest(list_transform(range(0, len(w) - 49), lambda i: md5(array_to_string(w[i + 1 : i + 50], ' ')))) AS run FROM words WHERE len(w) >= 50
+), shared AS (SELECT run FROM runs GROUP BY run HAVING min(doc_id) < max(doc_id)
+), marked AS (SELECT DISTINCT doc_id, a FROM runs JOIN shared USING (run)
+), parted AS (SELECT *, CASE WHEN a > lag(a) OVER (PARTITION BY doc_id ORDER BY a) + 50 THEN 1 ELSE 0 END AS new FROM marked
+), numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY a) AS stretch FROM parted)
+SELECT doc_id, min(a) AS start_word, max(a) + 50 AS end_word, max(a) + 50 - min(a) AS n_words FROM numbered GROUP BY doc_id, stretch
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op4_ngram_jaccard_join": OP4_SQL, "op9_repeated_passages": OP9_SQL, "op10_exact_dedup": OP10_SQL}
