@@ -41,7 +41,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """All n-grams as numbers, the index of each one's first letter, and where each row begins, among characters with a blank before each row."""
     starts = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][offsets]  # rows, in characters
     folded = _folded(data.tobytes().decode("utf-8", "replace"))
-    padded = np.full(len(folded) + len(starts) + 1, 32, np.int64)  # a blank before each row and at the end
+    padded = np.full(len(folded) + len(starts) + 2, 32, np.int64)  # a blank before each row, and two at the end, so that every row has one after it
     padded[np.arange(len(folded)) + np.repeat(np.arange(1, len(starts)), np.diff(starts))] = folded
     a, b, c = padded[:-2], padded[1:-1], padded[2:]
     one = np.flatnonzero(b != 32)
