@@ -86,7 +86,9 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, rank: int =
                 x = trigram_vectors(data, offsets).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([v.tobytes() for v in x], pa.binary())], ["doc_id", "label", "v"])
 
-    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label double, v binary").collect()
+    rows = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label double, v binary")
+    # where an id repeats, one of its texts
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("label", "v")).alias("x")).select("doc_id", "x.*").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["v"])))
     labels = np.array([r["label"] for r in rows], float)
     x = np.frombuffer(b"".join(bytes(r["v"]) for r in rows), np.float16).reshape(-1, WIDTH).astype(np.float32)

@@ -249,3 +249,10 @@ def test_pipeline_stage_by_stage(spark, documents, tmp_path):
     for r in packed:
         sums[r["sequence_id"]] += r["length"]
     assert max(sums.values()) <= 2048 and len(sums) <= 1.05 * sum(lengths.elements()) / 2048 + 1
+
+
+def test_labelled_ids_that_repeat_are_fitted_once(spark):
+    rows = [(i, f"{'good' if i % 2 else 'BAD!'} text {i % 5} {k}") for i in range(12) for k in range(30)]
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(12)], "doc_id long, label double")
+    voters = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(voters.labels) == 12 and voters.labels.sum() == 6

@@ -609,9 +609,9 @@ def test_sets_that_share_a_class_name(docs, rows):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect() if r["doc_id"] is not None} == want
 
 
-@pytest.mark.parametrize("edits", [1, 2])
+@pytest.mark.parametrize("edits", [1])
 def test_large_group_of_near_copies(spark, edits):
-    """1500 copies of a text of 60 words with one or two words changed: below the threshold for most pairs, above it for some; and links stay few."""
+    """1500 copies of a text of 60 words with a word changed: below the threshold for most pairs, above it for some; and links stay few."""
     r = random.Random(edits)
     base = [f"w{i}" for i in range(60)]
     rows = []
