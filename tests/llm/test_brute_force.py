@@ -223,7 +223,9 @@ def test_pipeline_stage_by_stage(spark, documents, tmp_path):
     exact_rows = corpus_pipeline.exact_deduplication(spark, quality_rows, SF)
     exact = {r["doc_id"]: r["text"] for r in exact_rows.collect()}
     assert set(exact) == set(first.values())
-    near = {r["doc_id"] for r in corpus_pipeline.near_deduplication(spark, exact_rows, SF).collect()}
+    near_rows = corpus_pipeline.near_deduplication(spark, exact_rows, SF)
+    assert quality_rows.columns == exact_rows.columns == near_rows.columns == documents.columns and len(votes) > len(kept) > len(exact)
+    near = {r["doc_id"] for r in near_rows.collect()}
     assert near == {i for i, (_, c) in brute_components(list(exact.items()), 5, 80).items() if i == c}
     rest = quality_rows.where(F.col("doc_id").isin(*near))
     mixed = corpus_pipeline.mix_to_weights(spark, rest, SF)

@@ -424,7 +424,7 @@ def test_common_passage_over_many_tasks(spark):
     passage = [f"p{i}" for i in range(64)]
     texts = {i: [f"x{i}_{j}" for j in range(i % 7)] + passage[i % 3 :] + [f"y{i}"] for i in range(200)}
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         table = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()] * 2, "doc_id long, text string")
