@@ -3,12 +3,13 @@
 The corpus is tokenised and cut into pieces once. The driver sees only the histogram of piece lengths (one row a length,
 `capacity` rows at most) and runs best-fit decreasing over its counts: all pieces of one length are placed
 together, so planning takes the same time for a thousand documents as for a trillion. Pieces then take the planned slots
-by an equality join on length with their rank within it.
+by an equality join on length and bucket of the rank within it; a bucket holds two planned entries on average, at most.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from loomline.llm.common import id_and_text, running_offset, staged, text_slices
 from loomline.llm.tokens import crc32_of_ids, encode_ids
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-SLOTS = "length long, rank_from long, rank_to long, first_sequence long, sequences long, base long"
+SLOTS = "length long, rank_from long, rank_to long, first_sequence long, sequences long, base long, bucket long"
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True) -> DataFrame:
@@ -99,6 +100,16 @@ def plan_best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, i
     return plan
 
 
+def by_rank_bucket(plan: list[tuple[int, int, int, int, int, int]], histogram: dict[int, int]) -> tuple[list[tuple[int, ...]], dict[int, int]]:
+    """The plan's entries, each once for every bucket of ranks that it reaches into, and the width of each length's buckets.
+
+    A length has as many buckets as entries at most, so an entry comes less than twice on average, however uneven the entries are.
+    """
+    entries = Counter(entry[0] for entry in plan)
+    width = {length: -(-histogram[length] // n) for length, n in entries.items()}
+    return [(*entry, bucket) for entry in plan for bucket in range(entry[1] // width[entry[0]], (entry[2] - 1) // width[entry[0]] + 1)], width
+
+
 def best_fit_pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True) -> DataFrame:
     """Pieces of all documents (see token_pieces) with sequence_id and offset, their place in sequences of `capacity` tokens.
 
@@ -108,9 +119,11 @@ def best_fit_pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, en
     spark = docs.sparkSession
     pieces = staged(token_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = spark.createDataFrame(plan_best_fit(histogram, capacity), SLOTS)
+    entries, width = by_rank_bucket(plan_best_fit(histogram, capacity), histogram)
+    plan, widths = spark.createDataFrame(entries, SLOTS), spark.createDataFrame(list(width.items()), "length long, width long")
     ranked = running_offset(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", rows=sum(histogram.values()))
-    placed = ranked.join(F.broadcast(plan), "length").where("rank >= rank_from AND rank < rank_to")
+    bucketed = ranked.join(F.broadcast(widths), "length").withColumn("bucket", F.expr("rank div width"))
+    placed = bucketed.join(F.broadcast(plan), ["length", "bucket"]).where("rank >= rank_from AND rank < rank_to")
     at = F.col("rank") - F.col("rank_from")
     return placed.select(
         *pieces.columns,

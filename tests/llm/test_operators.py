@@ -370,6 +370,26 @@ def test_plan_equals_best_fit_one_by_one():
     assert max(first + n for *_, first, n, _ in plan) == len(rooms)
 
 
+def test_rank_buckets_hold_every_rank_once():
+    rng = np.random.default_rng(4)
+    histogram = collections.Counter((rng.lognormal(3, 1, 20_000).astype(int) % 256 + 1).tolist())
+    plan = packing.plan_best_fit(histogram, 256)
+    entries, width = packing.by_rank_bucket(plan, histogram)
+    assert len(entries) < 2 * len(plan)
+    found = collections.Counter()
+    tried = 0
+    held = collections.defaultdict(list)
+    for entry in entries:
+        held[entry[0], entry[6]].append(entry)
+    for length, n in histogram.items():
+        for rank in range(n):
+            near = held[length, rank // width[length]]
+            tried += len(near)
+            found[sum(e[1] <= rank < e[2] for e in near)] += 1
+    assert set(found) == {1} and tried < 3 * sum(histogram.values())
+    assert packing.by_rank_bucket([], {}) == ([], {})
+
+
 def brute_stretches(texts):
     """(doc_id, start, end) of what runs of 50 words that another document has make up. texts: doc_id to words."""
     where = collections.defaultdict(set)
