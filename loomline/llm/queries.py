@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, jaccard, language, media, mixing, packing, quality, sharding, suffixes, tokens
+from loomline.llm import audit, exact_dedup, jaccard, language, media, mixing, negatives, packing, quality, sharding, suffixes, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
+
+
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 OP10_SQL = r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS t FROM documents
@@ -95,11 +105,49 @@ WITH words AS (
 SELECT doc_id, min(a) AS start_word, max(a) + 50 AS end_word, max(a) + 50 - min(a) AS n_words FROM numbered GROUP BY doc_id, stretch
 """
 
+OP11_SQL = r"""
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS id, b.label, coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM whole a, whole b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score, anchor_label FROM scores WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)::INT AS rank, s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+# Each order of the five filters over each document, one by one.
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	
+]+') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS is_copy FROM documents
+), known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN is_copy THEN 'E' ELSE '' END AS f
+  FROM texts LEFT JOIN known USING (doc_id)
+), l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), each AS (
+  SELECT part, o, step, good, toxic, f, contains(f, o[step]) AS hit, step > 1 AND regexp_matches(f, '[' || o[1 : step - 1] || '_]') AS gone FROM fails, orders, range(1, 6) s(step)
+), counted AS (
+  SELECT part, o, step, count(*) FILTER (NOT hit AND NOT gone) AS kept, count(*) FILTER (hit AND NOT gone) AS removed, count(*) FILTER (hit AND gone) AS redundant, count(*) FILTER (f = o[step]) AS unique_fails,
+    count(*) FILTER (hit AND NOT gone AND good = 1) AS good_lost, count(*) FILTER (hit AND NOT gone AND toxic = 1) AS toxic_lost FROM each GROUP BY ALL
+)
+SELECT part, o AS filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley FROM counted
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup)
+    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup, op11_hard_negatives, op13_filter_interaction_audit)
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_jaccard_join": OP4_SQL, "op9_repeated_passages": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op4_ngram_jaccard_join": OP4_SQL, "op9_repeated_passages": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op13_filter_interaction_audit": OP13_SQL}
