@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomline.functions.tables import scratch_dir  # noqa: F401  part of this module's names
 from loomline.operators.render import MESSAGE, function_schemas
 from loomline.sources import dimensions
 
@@ -56,16 +54,6 @@ def write_review_comments(codes: DataFrame, path: str) -> None:
     codes.withColumn("comment", comment).write.mode("overwrite").json(path)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir), or in a temporary one in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="loomline-")
-    return f"{shared.rstrip('/')}/jsonl-{uuid.uuid4().hex}"
-
-
 def training_messages(messages: Column) -> Column:
     """The (role, content) structs of messages, which trainers read."""
     return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
