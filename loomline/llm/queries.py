@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import audit, exact_dedup, jaccard, language, media, mixing, negatives, packing, quality, sharding, suffixes, tokens
+from loomline.llm import audit, chat, exact_dedup, jaccard, language, media, mixing, negatives, packing, quality, sharding, suffixes, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
 
 
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(spark, _table(spark, sf_dir, "conversations"))
+    return chat.format_and_read_back(turns, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -125,7 +130,8 @@ QUALIFY rank <= 3
 OP13_SQL = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	
-]+') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS is_copy FROM documents
+
+]+') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS is_copy FROM documents
 ), known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
 ), fails AS (
   SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
@@ -145,7 +151,7 @@ SELECT part, o AS filter_order, step::INT AS step, kept, removed, redundant, uni
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup, op11_hard_negatives, op13_filter_interaction_audit)
+    ops = (op1_media_progressive_jpeg, op2_sharding_vector_packing, op3_quality_neighbours, op4_ngram_jaccard_join, op5_mixing_blocks, op6_language_rank_order, op7_token_counts, op8_best_fit_packing, op9_repeated_passages, op10_exact_dedup, op11_hard_negatives, op12_chat_windows, op13_filter_interaction_audit)
     return {f.__name__: f for f in ops}
 
 
