@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomline.functions.rounding import one_decimal
+
 
 def distribution(rows: DataFrame, keys: list[str], by: str = "dataset", order: str = "id") -> DataFrame:
     """by, dimension, value, n, first_seen, pct: counts of each key's values in each dataset, by grouping sets.
@@ -57,6 +59,6 @@ def console(counts: DataFrame) -> DataFrame:
     wide = F.when(F.col("dimension") == "tool_name", 15).when(F.col("dimension") == "difficulty", 10).otherwise(5)
     bar = F.when(F.col("dimension") == "tool_name", F.concat(F.lit(" "), F.repeat(F.lit("█"), F.floor(F.col("pct") / 2).cast("int")))).otherwise("")
     padded = F.concat("value", F.repeat(F.lit(" "), F.greatest(F.lit(0), wide - F.length("value"))))
-    line = F.concat(padded, F.lit(": "), F.format_string("%6d (%5.1f%%)", "n", "pct"), bar)
+    line = F.concat(padded, F.lit(": "), F.format_string("%6d (", "n"), F.lpad(one_decimal(F.col("pct")), 5, " "), F.lit("%)"), bar)
     rows = counts.select("dataset", "dimension", place.alias("place"), line.alias("line"))
     return rows.where("dimension <> 'language' OR place <= 8").orderBy("dataset", F.desc("dimension"), "place")

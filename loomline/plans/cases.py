@@ -44,6 +44,14 @@ CASES: dict[str, list[tuple[str, str]]] = {
     "call of unknown tool": conversation(call=CALL | {"tool_name": "Nope"}, final=FINAL | {"content": "Nope ran."}),
     "call without arguments": conversation(call=without(CALL, "arguments")),
     "call with text as arguments": conversation(call=CALL | {"arguments": "pwd"}),
+    "call with JSON text as arguments": conversation(call=CALL | {"arguments": json.dumps({"command": "pwd"})}),
+    "call with a list as arguments": conversation(call=CALL | {"arguments": ["pwd"]}),
+    "call with NaN and little else": conversation(call='{"type":"tool_call","tool_name":"Nope","x":NaN}'),
+    "call with NaN among its arguments": conversation(call=json.dumps(CALL | {"arguments": {"command": "pwd", "timeout": float("nan")}})),
+    "call with a tool named twice": conversation(call='{"type":"tool_call","id":"call_1","tool_name":"Nope","tool_name":"Bash","arguments":{"command":"pwd"}}'),
+    "call with a type named twice": conversation(call='{"type":"tool_call","type":"banana"}'),
+    "call with a number as id": conversation(call=CALL | {"id": 1}, result=RESULT | {"tool_call_id": "1"}),
+    "null links to null": conversation(call=CALL | {"id": None}, result=RESULT | {"tool_call_id": None}),
     "call without required argument": conversation(call=CALL | {"arguments": {"timeout": 3}}),
     "marks not replaced": conversation(call=CALL | {"id": ID_MARK}, result=RESULT | {"tool_call_id": ID_MARK}),
     "result is no JSON": conversation(result="x"),
@@ -54,6 +62,10 @@ CASES: dict[str, list[tuple[str, str]]] = {
     "output is no JSON": conversation(result=RESULT | {"output": "plain"}),
     "output with placeholder": conversation(result=RESULT | {"output": '{"path": "{file_path}"}'}),
     "output that contradicts its exit code": conversation(result=RESULT | {"output": '{"exit_code": 0, "note": "Error in it"}'}),
+    "output with text as exit code": conversation(result=RESULT | {"output": '{"exit_code": "0", "note": "error"}'}),
+    "output that is an object": conversation(result=RESULT | {"output": {"stdout": "/"}}),
+    "output named twice": conversation(result='{"type":"tool_result","tool_call_id":"call_1","output":"plain","output":"{}"}'),
+    "answer with infinity beside it": conversation(final='{"type":"final_answer","content":"Bash ran pwd.","x":-Infinity}'),
     "answer without content": conversation(final=without(FINAL, "content")),
     "answer that is empty": conversation(final=FINAL | {"content": ""}),
     "answer that is null": conversation(final=FINAL | {"content": None}),

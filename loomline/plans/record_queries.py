@@ -22,34 +22,50 @@ def _values(rows) -> str:
 
 
 _NAMES = ", ".join(f"'{t}'" for t in dimensions.TOOL_NAMES)
-_CASES = f"""cases(id, n) AS (VALUES {_values((name, len(m)) for name, m in cases.CASES.items())}),
-messages(id, turn, role, content) AS (VALUES {_values(cases.rows())}),
-p AS (SELECT *, role IN ('assistant', 'tool') AND json_valid(content) AS ok FROM messages),
+
+
+def parsed_sql(messages: str) -> str:
+    """CTEs over messages (id, turn, role, content): cases (id, n) and m, what each message holds; of repeated keys the last."""
+    return f"""messages AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn) - 1 AS place FROM ({messages})), cases AS (SELECT id, count(*) AS n FROM messages GROUP BY id),
+p AS (SELECT *, role IN ('assistant', 'tool') AND coalesce(json_valid(content), false) AS ok FROM messages),
 o AS (SELECT *, ok AND json_type(CASE WHEN ok THEN content END) = 'OBJECT' AS obj FROM p),
-j AS (SELECT id, turn, role, content, ok, obj, CASE WHEN obj THEN content END AS c FROM o),
-m AS (SELECT *, json_keys(c) AS keys, json_extract_string(c, '$.type') AS type, json_extract_string(c, '$.id') AS call_id, json_extract_string(c, '$.tool_name') AS tool_name,
- json_type(c, '$.arguments') AS args_type, json_keys(c, '$.arguments') AS args, json_extract_string(c, '$.tool_call_id') AS tcid, json_extract_string(c, '$.output') AS output,
- json_extract_string(c, '$.content') AS answer, json_type(c, '$.content') AS answer_type, json_array_length(c, '$.content') AS answer_length, len(json_keys(c, '$.content')) AS answer_keys FROM j)"""
-_ISSUES = f"""{_CASES},
-a AS (SELECT id, turn, role, ok, obj, keys, type, tool_name, role = 'assistant' AND obj AND coalesce(type = 'tool_call', false) AS call,
+j AS (SELECT id, turn, place, role, content, ok, obj, CASE WHEN obj THEN content END AS c FROM o),
+e AS (SELECT j.id, place, key, arg_max(value, e.id) AS value, arg_max(type, e.id) AS kind FROM j, json_each(j.c) e GROUP BY ALL),
+t AS (SELECT *, CASE WHEN kind <> 'NULL' THEN json_extract_string(value, '$') END AS text FROM e),
+k AS (SELECT id, place, list(key) AS keys, max(text) FILTER (key = 'type' AND kind = 'VARCHAR') AS type, max(value::VARCHAR) FILTER (key = 'id') AS call_key, max(text) FILTER (key = 'id') AS call_id, max(text) FILTER (key = 'tool_name') AS tool_name,
+ max(kind) FILTER (key = 'arguments') AS args_type, max(json_keys(value)) FILTER (key = 'arguments' AND kind = 'OBJECT') AS args, max(value::VARCHAR) FILTER (key = 'tool_call_id') AS tcid_key, max(text) FILTER (key = 'tool_call_id') AS tcid,
+ max(text) FILTER (key = 'output') AS output, max(text) FILTER (key = 'content') AS answer, max(kind) FILTER (key = 'content') AS answer_type, max(json_array_length(value)) FILTER (key = 'content' AND kind = 'ARRAY') AS answer_length,
+ max(len(json_keys(value))) FILTER (key = 'content' AND kind = 'OBJECT') AS answer_keys FROM t GROUP BY id, place),
+m AS (SELECT j.id, j.turn, j.place, role, content, ok, obj, coalesce(keys, []) AS keys, k.* EXCLUDE (id, place, keys) FROM j LEFT JOIN k ON k.id IS NOT DISTINCT FROM j.id AND k.place = j.place)"""
+
+
+def issues_sql(messages: str) -> str:
+    """parsed_sql() and f (id, place, turn, k, issue): the validator's errors, without those of short conversations."""
+    return f"""{parsed_sql(messages)},
+a AS (SELECT id, turn, place, role, ok, obj, keys, type, tool_name, role = 'assistant' AND obj AND coalesce(type = 'tool_call', false) AS call,
  role = 'assistant' AND obj AND coalesce(type = 'final_answer', false) AS final,
  NOT coalesce(list_contains(keys, 'content'), false) OR answer_type = 'NULL' OR (answer_type = 'VARCHAR' AND answer = '') OR (answer_type = 'BOOLEAN' AND answer = 'false')
  OR (answer_type IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND TRY_CAST(answer AS DOUBLE) = 0) OR (answer_type = 'ARRAY' AND answer_length = 0) OR (answer_type = 'OBJECT' AND answer_keys = 0) AS falsy FROM m),
 f AS (
- SELECT id, turn, 0 AS k, 'assistant message not valid JSON' AS issue FROM a WHERE role = 'assistant' AND NOT ok
- UNION ALL SELECT id, turn, 1, 'ASSISTANT_NOT_OBJECT' FROM a WHERE role = 'assistant' AND ok AND NOT obj
- UNION ALL SELECT id, turn, 2, 'tool_call missing id' FROM a WHERE call AND NOT list_contains(keys, 'id')
- UNION ALL SELECT id, turn, 3, 'unknown tool: ' || coalesce(tool_name, 'None') FROM a WHERE call AND NOT coalesce(tool_name IN ({_NAMES}), false)
- UNION ALL SELECT id, turn, 4, 'tool_call missing arguments' FROM a WHERE call AND NOT list_contains(keys, 'arguments')
- UNION ALL SELECT id, turn, 5, 'final_answer missing content' FROM a WHERE final AND falsy
- UNION ALL SELECT id, turn, 6, 'tool message not valid JSON' FROM a WHERE role = 'tool' AND NOT ok
- UNION ALL SELECT id, turn, 7, 'TOOL_NOT_OBJECT' FROM a WHERE role = 'tool' AND ok AND NOT obj
- UNION ALL SELECT id, turn, 8, 'tool message must have type=tool_result' FROM a WHERE role = 'tool' AND obj AND type IS DISTINCT FROM 'tool_result'
- UNION ALL SELECT id, turn, 9, 'tool_result missing tool_call_id' FROM a WHERE role = 'tool' AND obj AND NOT list_contains(keys, 'tool_call_id')
- UNION ALL SELECT id, -3, 0, 'first message must be system' FROM messages WHERE turn = 0 AND role <> 'system'
- UNION ALL SELECT id, -2, 0, 'second message must be user' FROM messages WHERE turn = 1 AND role <> 'user'
- UNION ALL SELECT id, -1, 0, 'last message must be assistant' FROM messages JOIN cases USING (id) WHERE turn = n - 1 AND role <> 'assistant'),
-i AS (SELECT cases.id, CASE WHEN n < 4 THEN 'too few messages' ELSE coalesce(string_agg(issue, '; ' ORDER BY turn, k), '') END AS issues FROM cases LEFT JOIN f USING (id) GROUP BY cases.id, n)"""
+ SELECT id, place, turn, 0 AS k, 'assistant message not valid JSON' AS issue FROM a WHERE role = 'assistant' AND NOT ok
+ UNION ALL SELECT id, place, turn, 1, 'ASSISTANT_NOT_OBJECT' FROM a WHERE role = 'assistant' AND ok AND NOT obj
+ UNION ALL SELECT id, place, turn, 2, 'tool_call missing id' FROM a WHERE call AND NOT list_contains(keys, 'id')
+ UNION ALL SELECT id, place, turn, 3, 'unknown tool: ' || coalesce(tool_name, 'None') FROM a WHERE call AND NOT coalesce(tool_name IN ({_NAMES}), false)
+ UNION ALL SELECT id, place, turn, 4, 'tool_call missing arguments' FROM a WHERE call AND NOT list_contains(keys, 'arguments')
+ UNION ALL SELECT id, place, turn, 5, 'final_answer missing content' FROM a WHERE final AND falsy
+ UNION ALL SELECT id, place, turn, 6, 'tool message not valid JSON' FROM a WHERE role = 'tool' AND NOT ok
+ UNION ALL SELECT id, place, turn, 7, 'TOOL_NOT_OBJECT' FROM a WHERE role = 'tool' AND ok AND NOT obj
+ UNION ALL SELECT id, place, turn, 8, 'tool message must have type=tool_result' FROM a WHERE role = 'tool' AND obj AND type IS DISTINCT FROM 'tool_result'
+ UNION ALL SELECT id, place, turn, 9, 'tool_result missing tool_call_id' FROM a WHERE role = 'tool' AND obj AND NOT list_contains(keys, 'tool_call_id')
+ UNION ALL SELECT id, -3, NULL, 0, 'first message must be system' FROM messages WHERE place = 0 AND role <> 'system'
+ UNION ALL SELECT id, -2, NULL, 0, 'second message must be user' FROM messages WHERE place = 1 AND role <> 'user'
+ UNION ALL SELECT id, -1, NULL, 0, 'last message must be assistant' FROM messages JOIN cases USING (id) WHERE place = n - 1 AND role <> 'assistant')"""
+
+
+_EMPTY = ", ".join(f"('{name}')" for name, m in cases.CASES.items() if not m)
+_MESSAGES_OF_CASES = f"SELECT * FROM (VALUES {_values(cases.rows())}) v(id, turn, role, content)"
+_ISSUES = f"""{issues_sql(_MESSAGES_OF_CASES)}, known AS (SELECT * FROM cases UNION ALL SELECT id, 0 FROM (VALUES {_EMPTY}) v(id)),
+i AS (SELECT known.id, n, CASE WHEN n < 4 THEN 'too few messages' ELSE coalesce(string_agg(issue, '; ' ORDER BY place, k), '') END AS issues FROM known LEFT JOIN f USING (id) GROUP BY known.id, n)"""
 
 
 @query(f"WITH {_ISSUES} SELECT id, issues FROM i")
@@ -62,7 +78,7 @@ def validator_batch_stats(spark, sf_dir):
     return validate.batch_stats(validate.structural_issues(cases.trajectories(spark)))
 
 
-@query(f"WITH {_ISSUES} SELECT id, n AS n_messages FROM i JOIN cases USING (id) WHERE issues = ''")
+@query(f"WITH {_ISSUES} SELECT id, n AS n_messages FROM i WHERE issues = ''")
 def valid_cases_only(spark, sf_dir):
     return validate.valid_only(cases.trajectories(spark)).select("id", F.size("messages").alias("n_messages"))
 
@@ -72,13 +88,15 @@ _BOTH = " OR ".join(f"(contains(lower(answer), '{a}') AND contains(lower(answer)
 _VAGUE = ", ".join(f"'{v}'" for v in validate.VAGUE)
 
 
-@query(f"""WITH {_CASES}, required(tool_name, arg) AS (VALUES {_REQUIRED}),
+def codes_sql(messages: str) -> str:
+    """The review codes of messages (id, turn, role, content): id, turn, code, category."""
+    return f"""WITH {parsed_sql(messages)}, required(tool_name, arg) AS (VALUES {_REQUIRED}),
 x AS (SELECT *, role = 'assistant' AND obj AND coalesce(type = 'tool_call', false) AS call, role = 'tool' AND obj AND coalesce(type = 'tool_result', false) AS result,
  role = 'assistant' AND obj AND coalesce(type = 'final_answer', false) AS final, list_contains(keys, 'id') AS has_id, list_contains(keys, 'tool_name') AS has_tool FROM m),
-calls AS (SELECT id, call_id, tool_name FROM x WHERE call),
+calls AS (SELECT id, call_key, tool_name FROM x WHERE call),
 named AS (SELECT DISTINCT id FROM calls WHERE tool_name IS NOT NULL),
 s AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn) AS k, row_number() OVER (PARTITION BY id ORDER BY turn DESC) AS back, lag(role) OVER (PARTITION BY id ORDER BY turn) AS before FROM x WHERE role <> 'system')
-SELECT id, turn::INT AS turn, 'TC_MISSING_ID' AS code, 'SCHEMA' AS category FROM x WHERE call AND NOT has_id
+SELECT id, turn, 'TC_MISSING_ID' AS code, 'SCHEMA' AS category FROM x WHERE call AND NOT has_id
 UNION ALL SELECT id, turn, 'TC_MISSING_TOOL', 'SCHEMA' FROM x WHERE call AND NOT has_tool
 UNION ALL SELECT id, turn, 'TC_BAD_ARGS', 'SCHEMA' FROM x WHERE call AND args_type IS DISTINCT FROM 'OBJECT'
 UNION ALL SELECT id, turn, 'TR_MISSING_TCID', 'SCHEMA' FROM x WHERE result AND NOT list_contains(keys, 'tool_call_id')
@@ -88,10 +106,11 @@ UNION ALL SELECT DISTINCT id, turn, 'MISSING_ARG', 'TOOL_CALL' FROM x JOIN requi
 UNION ALL SELECT id, turn, 'EMPTY_ID', 'TOOL_CALL' FROM x WHERE call AND has_id AND trim(coalesce(call_id, '')) = ''
 UNION ALL SELECT id, turn, 'UNSUBSTITUTED_ID', 'TOOL_CALL' FROM x WHERE call AND call_id = '{validate.ID_MARK}'
 UNION ALL SELECT id, turn, 'UNSUBSTITUTED_TCID', 'TOOL_RESULT' FROM x WHERE result AND tcid = '{validate.ID_MARK}'
-UNION ALL SELECT id, turn, 'TCID_MISMATCH', 'TOOL_RESULT' FROM x WHERE result AND NOT EXISTS (SELECT 1 FROM calls WHERE calls.id = x.id AND calls.call_id = x.tcid)
+UNION ALL SELECT id, turn, 'TCID_MISMATCH', 'TOOL_RESULT' FROM x WHERE result AND NOT EXISTS (SELECT 1 FROM calls WHERE calls.id = x.id AND coalesce(calls.call_key, 'null') = x.tcid_key)
 UNION ALL SELECT id, turn, 'OUTPUT_NOT_JSON', 'TOOL_RESULT' FROM x WHERE result AND NOT coalesce(json_valid(output), false)
 UNION ALL SELECT id, turn, 'OUTPUT_PLACEHOLDER', 'TOOL_RESULT' FROM x WHERE result AND regexp_matches(output, '{validate.PLACEHOLDER}')
-UNION ALL SELECT id, turn, 'EXIT_CODE_CONFLICT', 'TOOL_RESULT' FROM x WHERE result AND json_extract_string(CASE WHEN json_valid(output) THEN output END, '$.exit_code') = '0' AND contains(lower(output), 'error')
+UNION ALL SELECT id, turn, 'EXIT_CODE_CONFLICT', 'TOOL_RESULT' FROM x WHERE result AND json_type(CASE WHEN json_valid(output) THEN output END, '$.exit_code') IN ('BIGINT', 'UBIGINT', 'DOUBLE')
+ AND TRY_CAST(json_extract_string(CASE WHEN json_valid(output) THEN output END, '$.exit_code') AS DOUBLE) = 0 AND contains(lower(output), 'error')
 UNION ALL SELECT id, turn, 'VAGUE_ANSWER', 'FINAL_ANSWER' FROM x WHERE final AND trim(lower(answer)) IN ({_VAGUE})
 UNION ALL SELECT id, turn, 'ANSWER_PLACEHOLDER', 'FINAL_ANSWER' FROM x WHERE final AND regexp_matches(answer, '{validate.PLACEHOLDER}')
 UNION ALL SELECT id, turn, 'HALLUCINATION', 'FINAL_ANSWER' FROM x WHERE final AND ({_BOTH})
@@ -99,7 +118,10 @@ UNION ALL SELECT id, turn, 'NOT_GROUNDED', 'FINAL_ANSWER' FROM x WHERE final AND
 UNION ALL SELECT id, NULL, 'BAD_FIRST_ROLE', 'SEQUENCE' FROM s WHERE k = 1 AND role <> 'user'
 UNION ALL SELECT id, NULL, 'BAD_LAST_ROLE', 'SEQUENCE' FROM s WHERE back = 1 AND role <> 'assistant'
 UNION ALL SELECT id, NULL, 'COUNT_MISMATCH', 'SEQUENCE' FROM s GROUP BY id HAVING count(*) FILTER (call) <> count(*) FILTER (result)
-UNION ALL SELECT DISTINCT id, NULL, 'BAD_ALTERNATION', 'SEQUENCE' FROM s WHERE role = before""")
+UNION ALL SELECT DISTINCT id, NULL, 'BAD_ALTERNATION', 'SEQUENCE' FROM s WHERE role = before"""
+
+
+@query(f"SELECT id, turn::INT AS turn, code, category FROM ({codes_sql(_MESSAGES_OF_CASES)})")
 def critic_cases(spark, sf_dir):
     return validate.critique(cases.trajectories(spark))
 
