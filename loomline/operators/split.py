@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Leading hash characters that number the buckets: 4,096 of them, whatever the data.
 BUCKET_CHARS = 3
@@ -30,3 +31,13 @@ def split_70_15_15(table: DataFrame, key: str, seed: int, total: int | None = No
     train, held = int(n * 0.70), int(n * 0.15)
     placed = positions(table, key, seed).where(F.col("pos") < n)
     return placed.withColumn("split", F.when(F.col("pos") < train, "train").when(F.col("pos") < train + held, "eval").otherwise("test"))
+
+
+def write_splits(rows: DataFrame, path: str) -> None:
+    """rows (with split) as a folder for each split that they have; other splits' folders stay as they are."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split").parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, split: str, schema: StructType) -> DataFrame:
+    """One split's rows; the other folders aren't read. To replace a split with what was read of it, write the rows elsewhere first: a folder can't be read while it is replaced."""
+    return spark.read.schema(schema).parquet(path).where(F.col("split") == split)

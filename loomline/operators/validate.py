@@ -164,9 +164,11 @@ def sequence_tests(first: Column, last: Column, calls: Column, results: Column,
     return [("SEQUENCE", code, test) for code, test in (("BAD_FIRST_ROLE", ~_is(first, "user")), ("BAD_LAST_ROLE", ~_is(last, "assistant")), ("COUNT_MISMATCH", calls != results), ("BAD_ALTERNATION", repeats))]
 
 
-def critique(trajectories: DataFrame) -> DataFrame:
-    """dataset and id (as far as there are any), turn, code, category: the 22 review codes, a row each time one applies (turn null: the whole sequence)."""
-    names = [c for c in NAMES if c in trajectories.columns]
+CODES = "array<struct<turn: int, code: string, category: string>>"
+
+
+def with_codes(trajectories: DataFrame) -> DataFrame:
+    """trajectories with codes, an array of (turn, code, category): the 22 review codes, each time one applies (turn null: the whole sequence)."""
     rows = with_parsed(trajectories)
     call = lambda x: is_call(x["role"], x["p"])
     result = lambda x: is_result(x["role"], x["p"])
@@ -185,8 +187,15 @@ def critique(trajectories: DataFrame) -> DataFrame:
 
     repeats = F.exists(F.sequence(F.lit(1), F.greatest(F.size("roles_") - 1, F.lit(1))), lambda i: _true(F.get("roles_", i) == F.get("roles_", i - 1)))
     tests = sequence_tests(F.get("roles_", F.lit(0)), F.try_element_at("roles_", F.lit(-1)), F.size(F.filter("t", call)), F.size(F.filter("t", result)), repeats)
-    sequence = F.when(F.size("roles_") > 0, _found(tests, F.lit(None).cast("int").alias("turn"))).otherwise(F.array().cast("array<struct<turn: int, code: string, category: string>>"))
-    return rows.select(*names, F.explode(F.concat(F.flatten(F.transform("t", of_message)), sequence)).alias("x")).select(*names, "x.*")
+    sequence = F.when(F.size("roles_") > 0, _found(tests, F.lit(None).cast("int").alias("turn"))).otherwise(F.array().cast(CODES))
+    codes = F.concat(F.flatten(F.transform("t", of_message)), sequence)
+    return rows.select(*trajectories.columns, F.coalesce(codes, F.array().cast(CODES)).alias("codes"))
+
+
+def critique(trajectories: DataFrame) -> DataFrame:
+    """dataset and id (as far as there are any), turn, code, category: a row each time a review code applies (turn null: the whole sequence)."""
+    names = [c for c in NAMES if c in trajectories.columns]
+    return with_codes(trajectories).select(*names, F.explode("codes").alias("x")).select(*names, "x.*")
 
 
 def _parsed_turns(turns: DataFrame) -> DataFrame:

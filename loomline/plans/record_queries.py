@@ -245,12 +245,12 @@ def report_console_lines(spark, sf_dir):
     return report.console(report.distribution(rows, ["language", "tool_name", "difficulty"])).select("dimension", "place", "line")
 
 
-def _as_records(spark, sf_dir):
-    """conversations as records without localization and metadata."""
+def _as_records(spark, sf_dir, keep: str | None = None):
+    """conversations as records without localization and metadata; keep: one column more."""
     turn = F.struct("turn", "role", F.col("text").alias("content"), F.when(F.col("role") == "tool", "x").otherwise("").alias("tool_call_id"), F.lit(None).cast("string").alias("name"))
     rows = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     messages = F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"), x["tool_call_id"].alias("tool_call_id"), x["name"].alias("name")))
-    return rows.select(messages.alias("messages"), F.lit(None).cast(jsonl.LOCALE).alias("localization"), F.lit(None).cast(jsonl.METADATA).alias("metadata"))
+    return rows.select(messages.alias("messages"), F.lit(None).cast(jsonl.LOCALE).alias("localization"), F.lit(None).cast(jsonl.METADATA).alias("metadata"), *([keep] if keep else []))
 
 
 @query("""SELECT turn, role, count(*) AS n, sum(octet_length(encode(text)))::BIGINT AS n_bytes, 0::BIGINT AS with_call_id, 10 AS n_tools FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn_ FROM conversations) GROUP BY turn, role""")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomline.plans import queries as q
-from loomline.plans import record_queries, review_queries  # noqa: F401  these register their queries with those of q
+from loomline.plans import record_queries, review_queries, table_queries  # noqa: F401  these register their queries with those of q
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

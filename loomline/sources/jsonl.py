@@ -40,7 +40,8 @@ def write(trajectories: DataFrame, path: str, partition_by: list[str] | None = N
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RECORD).json(path)
+    """Records as write() has written them; a line that is none fails the read. Files from elsewhere are for sources.records to read."""
+    return spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
 
 
 def write_bad_rows(issues: DataFrame, path: str) -> None:

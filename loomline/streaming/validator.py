@@ -1,4 +1,4 @@
-"""A stateless file-source stream of the validator: an extension; the record format is the batch one."""
+"""A stateless file-source stream of the validator: an extension; lines are read as sources.records reads them."""
 
 from __future__ import annotations
 
@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators.validate import strict_json
-from loomline.sources.jsonl import RECORD
+from loomline.streaming.counts import lines_of
 
 
 def invalid_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """A streaming DataFrame of assistant and tool messages whose content is not a JSON object."""
-    rows = spark.readStream.schema(RECORD).json(folder).select(F.explode("messages").alias("m")).select("m.*")
+    """A streaming DataFrame of assistant and tool messages, of the lines that are records, whose content is not a JSON object."""
+    rows = lines_of(spark, folder).select(F.explode("messages").alias("m")).select("m.*")
     return rows.where(F.col("role").isin("assistant", "tool")).withColumn("kind", strict_json("content")).where("kind IS NULL OR kind <> 'object'")
 
 
