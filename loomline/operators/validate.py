@@ -195,7 +195,8 @@ def with_codes(trajectories: DataFrame) -> DataFrame:
 def critique(trajectories: DataFrame) -> DataFrame:
     """dataset and id (as far as there are any), turn, code, category: a row each time a review code applies (turn null: the whole sequence)."""
     names = [c for c in NAMES if c in trajectories.columns]
-    return with_codes(trajectories).select(*names, F.explode("codes").alias("x")).select(*names, "x.*")
+    # explode_outer: of explode Spark makes a filter on the array's size, which evaluates the whole review a second time
+    return with_codes(trajectories).select(*names, F.explode_outer("codes").alias("x")).where("x IS NOT NULL").select(*names, "x.*")
 
 
 def _parsed_turns(turns: DataFrame) -> DataFrame:
