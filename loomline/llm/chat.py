@@ -68,17 +68,17 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescaped_role(role), unescaped(text)) for role, text in _TURN.findall(formatted)]
 
 
-def spans(tokens: list[int], system: int | None, start: int, budget: int, history: int) -> Iterator[tuple[bool, int, int, int]]:
+def spans(tokens: list[int], system: int | None, inside: bool, start: int, budget: int, history: int) -> Iterator[tuple[bool, int, int, int]]:
     """Windows over turns of so many tokens, from turn `start` on: whether the system turn is retained, the first turn of the history, the first new turn, the one
     after the last.
 
-    system: the system turn's tokens, if the conversation has one. At start 0 it is the first of tokens itself; later it stands outside of them.
+    system: the system turn's tokens, if the conversation has one; inside: it is the first of tokens itself, and stands outside of them otherwise.
     A turn that doesn't fit is a window without history, and without the system turn if these two don't fit.
     """
     ends = [0]
     for n in tokens:
         ends.append(ends[-1] + n)
-    own = 1 if system is not None and start == 0 else 0  # the system turn is among the tokens
+    own = 1 if system is not None and inside else 0
     i = start
     while i < len(tokens):
         kept = system is not None and not (own and i == 0) and system + tokens[i] <= budget and 2 * system <= budget
@@ -138,10 +138,11 @@ def _windows(dealt: DataFrame, budget: int, history: int) -> DataFrame:
             if not new:  # history of a section that a long turn has swallowed
                 return
             past = [x for x in held if x[0] == 1]
-            first = [x for x in held if x[0] == 0] or (new[:1] if key[1] == 0 and new[0][1] == "system" else [])
+            inside = key[1] == 0
+            first = [x for x in held if x[0] == 0] or (new[:1] if inside and new[0][1] == "system" else [])
             turns = past + new
             blocks = [formatted_turn(x[1], x[2]) for x in turns]
-            for window, (kept, h, i, j) in enumerate(spans([x[3] for x in turns], first[0][3] if first else None, len(past), budget, history)):
+            for window, (kept, h, i, j) in enumerate(spans([x[3] for x in turns], first[0][3] if first else None, inside, len(past), budget, history)):
                 parts = ([formatted_turn(first[0][1], first[0][2])] if kept else []) + blocks[h:j]
                 at, loss = sum(map(len, parts[: len(parts) - (j - i)])), []
                 for (_, role, _, _), block in zip(turns[i:j], blocks[i:j], strict=True):
