@@ -13,6 +13,7 @@ from loomline.plans import generate
 
 
 def arguments(args: Sequence[str] | None = None) -> argparse.Namespace:
+    # names and defaults are fixed values
     parser = argparse.ArgumentParser(prog="loomline", description="Generate tool-use trajectories")
     parser.add_argument("--count", type=int, default=100_000, help="rows")
     parser.add_argument("--output-dir", default="output", help="any folder that Spark can write to")

@@ -141,14 +141,11 @@ BASH_RULES = [
     ("df", [["df -h"]]), ("free", [["free -m"]]), ("ps", [["ps aux"]]), ("wc", [["wc -l"]]),
 ]
 
-#: Our own commands.
-_COMMANDS = [
-    "git status -sb", "git log -n 3", "git diff --stat", "git add . && git status", "git commit -am wip", "git push -u origin topic", "git pull --rebase", "git branch --list",
-    "git clone ssh://host/repo", "npm install left-pad", "npm run build", "npm test", "pip install numpy", "pip list", "python3 job.py", "pytest -q", "node index.js", "cargo build --release",
-    "cargo run", "docker ps -a", "docker images", "docker-compose up -d", "find . -name '*.py'", "wc -l $(find src -name '*.py')", "grep -n main app", "rg todo lib", "ls -lh",
-    "df -h", "free -m", "ps aux", "pwd", "whoami", "uptime", "curl -I http://localhost", "du -s .", "head README", "tail log.txt",
-]
 _TOPICS = ["parser", "cache", "queue", "index", "login", "schema", "metrics", "layout", "retry", "export", "search", "billing", "upload", "theme", "router"]
+#: Commands of our own: one for each way to meet a rule, about some topic, and some that meet none.
+_COMMANDS = [f"{' '.join(w.strip() for w in words)} {_TOPICS[i % len(_TOPICS)]}" for i, words in enumerate(words for _, clauses in BASH_RULES for words in clauses)] + [
+    "date -u", "env", "hostname", "tree -L 2", "stat notes.txt", "sort -u words.txt", "cut -f1 table.tsv", "sha256sum app.bin", "tar tf old.tar", "diff -r one two", "mkdir -p out/logs", "touch marker", "printenv PATH", "seq 3",
+]
 
 
 def _intents() -> list[tuple[str, int, str, str]]:
