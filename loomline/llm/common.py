@@ -72,6 +72,35 @@ def with_known_ids(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
     return docs.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "doc_id")
 
 
+#: Rows of one key that a task may get; the rows of a key with more are shared out.
+HOT = 20_000
+
+
+def hot_keys(rows: DataFrame, keys: list[str], n: int, counted: str | None = None) -> DataFrame | None:
+    """keys and pieces_, the number of tasks to share a key's rows, for each key that more than HOT of the n rows have; None if there is none.
+
+    A key counts as hot from n / 500,000 rows on, too, so there are 500,000 of them at most, which may be broadcast. counted: rows is a row a key, and has their number there.
+    """
+    least = max(HOT, n // 500_000)
+    if n <= least:
+        return None
+    counts = rows.select(*keys, F.col(counted).alias("rows_")) if counted else rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_"))
+    hot = staged(counts.where(F.col("rows_") > least).select(*keys, F.ceil(F.col("rows_") / least).cast("int").alias("pieces_")), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], hot: DataFrame | None, by: list[str], how: str = "inner", more: list[str] | None = None) -> DataFrame:
+    """rows joined with groups by keys (and more columns), where hot keys' rows are dealt out by a hash of the columns `by`, and their groups' rows go to each piece."""
+    both = [*keys, *(more or [])]
+    if hot is None:
+        return rows.join(groups, both, how)
+    hot = F.broadcast(hot)
+    pieces = F.coalesce("pieces_", F.lit(1))
+    spread = rows.join(hot, keys, "left").withColumn("piece_", F.pmod(F.xxhash64(*by), pieces).cast("int")).drop("pieces_")
+    copies = groups.join(hot, keys, "left").withColumn("piece_", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("pieces_")
+    return spread.join(copies, [*both, "piece_"], how).drop("piece_")
+
+
 def running_offset(table: DataFrame, keys: list[str], order: list[str], out: str, value: str | None = None, rows: int | None = None) -> DataFrame:
     """Add out: the sum of value (or 1) over the rows before this one among those with equal keys.
 

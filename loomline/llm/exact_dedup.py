@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import BROADCAST_IDS, SEPARATOR, SPACE_RE, id_and_text, staged, text_slices
+from loomline.llm.common import BROADCAST_IDS, SEPARATOR, SPACE_RE, hot_keys, id_and_text, join_groups, staged, text_slices
 
 PRIMES = (2**31 - 1, 2**31 - 19)
 BASES = (1_000_003, 16_777_619)
@@ -190,18 +190,19 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     table = fingerprints(docs)
     first = F.min(F.struct("no_id", "doc_id", "row", "number")).alias("first")
     groups = staged(table.groupBy(*KEY).agg(first, F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "groups")
-    members = staged(table.join(groups, KEY, "left_semi").select("no_id", "number").distinct(), "members")
+    # all copies of one text have one key
+    hot = hot_keys(groups, KEY, groups.agg(F.sum("group_size")).first()[0] or 0, "group_size")
+    members = staged(join_groups(table, groups.select(*KEY), KEY, hot, ["row"], "left_semi").select("no_id", "number").distinct(), "members")
     base = id_and_text(docs).select(*_number(), "text")
     base = base.join(F.broadcast(members) if members.count() <= BROADCAST_IDS else members, ["no_id", "number"])
     leader = groups.select(*KEY, F.col("first.no_id").alias("leader_no_id"), F.col("first.number").alias("leader"))
-    chunks = staged(text_chunks(base).join(leader, KEY), "chunks")
+    chunks = staged(join_groups(text_chunks(base), leader, KEY, hot, ["no_id", "number", "chunk"]), "chunks")
     leaders = chunks.where("no_id = leader_no_id AND number = leader").groupBy(*KEY, "chunk").agg(F.min("bytes").alias("leader_bytes"))
     leaders = staged(leaders, "leaders")
-    # copies of one text: a join that Spark splits by rows of the larger side, as its result is dealt anew
-    different = chunks.join(leaders, [*KEY, "chunk"]).where(F.col("bytes") != F.col("leader_bytes")).select("no_id", "number", *KEY).distinct()
+    different = join_groups(chunks, leaders, KEY, hot, ["no_id", "number"], more=["chunk"]).where(F.col("bytes") != F.col("leader_bytes")).select("no_id", "number", *KEY).distinct()
     different = staged(different, "different")
     if different.isEmpty():
-        found = table.join(groups, KEY, "left")
+        found = join_groups(table, groups, KEY, hot, ["row"], "left")
     else:  # equal fingerprints of different texts: sha256 tells them apart
         table = table.join(different.withColumn("apart", F.lit(True)), ["no_id", "number", *KEY], "left").withColumn("within", F.when(F.col("apart"), F.col("text_sha256")).otherwise(""))
         table = staged(table, "regrouped")

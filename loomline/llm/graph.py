@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import staged
+from loomline.llm.common import hot_keys, join_groups, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the component's smallest node) of every node in edges (a, b: long) but the roots themselves.
 
     Large-star and small-star steps in turn: neighbours move to the smallest node known, until nothing changes. Each step is joins and
-    partial minima over staged edges, so no node's neighbours are ever gathered in one place.
+    partial minima over staged edges; the edges of a node that has very many are dealt out over tasks.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     before = None
@@ -24,6 +24,6 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = staged(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        large = staged(join_groups(both, least, ["a"], hot_keys(both, ["a"], 2 * now[0]), ["b"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
-        e = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select("a", F.col("m").alias("b"))).distinct()
+        e = join_groups(large, lower, ["a"], hot_keys(large, ["a"], now[0]), ["b"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select("a", F.col("m").alias("b"))).distinct()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.common import BROADCAST_IDS, id_and_text, lower_ascii, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
+from loomline.llm.common import BROADCAST_IDS, hot_keys, id_and_text, join_groups, lower_ascii, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
 from loomline.llm.graph import components
 
 KEYS = 3
@@ -44,6 +44,8 @@ ROUNDS = 1
 FEW = 3
 #: Tokens that a matrix product of a chunk or group takes up at once, about.
 AT_ONCE = 500_000
+#: Sets that a task remembers before it starts anew.
+SEEN = 500_000
 _SALTS = [np.uint64(x) for x in (0x8BB84B93962EACC9, 0x4B33A62ED433D4A3, 0x4D5A2DA51DE1AA47, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
@@ -108,26 +110,32 @@ def bucket_levels(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray, bits: int = 64) -> DataFrame:
-    """doc_id, cls, check, n (the set's hashes and size) and its prefix tokens in the global order."""
+    """doc_id, cls, check, n (the set's hashes and size), its prefix tokens in the global order, and fresh: false where the same task had a row of the same set shortly
+    before, so that of a set that most rows have a few rows a task are fresh, and all sets have some."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for part, data, offsets in text_slices(batch):
-                keys, sizes, tokens = [], [], []
+                keys, sizes, tokens, fresh = [], [], [], []
                 for s in shingle_sets(data, offsets, words):
                     n = len(s)
                     order = (sent.value[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix(s ^ _SALTS[2]) >> np.uint64(8))
                     most = n - needed(n, percent) + overlap(n, percent)
                     keep = np.argpartition(order, most - 1)[:most] if n else np.zeros(0, np.int64)
                     keys.append(_set_keys(s, bits))
+                    fresh.append(keys[-1] not in seen)
+                    seen.add(keys[-1])
                     sizes.append(n)
                     tokens.append(s[keep].view(np.int64))
                 flat = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(t) for t in tokens])].astype(np.int32)), pa.array(np.concatenate(tokens)))
                 cls, check = np.array(keys, np.int64).reshape(-1, 2).T
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cls), pa.array(check), pa.array(sizes, pa.int64()), flat], ["doc_id", "cls", "check", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cls), pa.array(check), pa.array(sizes, pa.int64()), flat, pa.array(fresh, pa.bool_())], ["doc_id", "cls", "check", "n", "prefix", "fresh"])
+                if len(seen) > SEEN:
+                    seen.clear()
 
-    return docs.mapInArrow(cut, "doc_id long, cls long, check long, n long, prefix array<long>")
+    return docs.mapInArrow(cut, "doc_id long, cls long, check long, n long, prefix array<long>, fresh boolean")
 
 
 def full_sets(docs: DataFrame, words: int, bits: int = 64) -> DataFrame:
@@ -238,7 +246,8 @@ def chunks_of(sets: DataFrame) -> DataFrame:
     sizes = staged(keyed.groupBy("which", "mark").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "marks")
     chunk = F.pmod(F.xxhash64("cls", "which"), F.ceil(F.col("size") / CHUNK)).cast("int").alias("chunk")
     largest = F.max(F.struct("size", "which", "mark", chunk)).alias("largest")
-    met = keyed.join(sizes, ["which", "mark"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"), largest)  # KEYS a class at most
+    hot = hot_keys(sizes, ["which", "mark"], sizes.agg(F.sum("size")).first()[0] or 0, "size")
+    met = join_groups(keyed, sizes, ["which", "mark"], hot, ["cls"]).groupBy("cls").agg(F.collect_list(F.struct("which", "mark", chunk)).alias("chunks"), largest)  # KEYS a class at most
     return met.select("cls", "chunks", F.xxhash64("largest.which", "largest.mark", "largest.chunk").alias("grp"))
 
 
@@ -269,8 +278,9 @@ def group_links(sets: DataFrame, plan: DataFrame, percent: int) -> DataFrame:
 def opened_links(opened: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes (cls, other: the group to open) and the groups' members (cls, grp), by exact intersection."""
     # so many blocks of askers has each group; its members, CHUNK or so, go to all of them
-    blocks = staged(opened.groupBy(F.col("other").alias("grp")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("blocks")), "blocks")
-    asked = opened.withColumnRenamed("other", "grp").join(blocks, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
+    blocks = staged(opened.groupBy(F.col("other").alias("grp")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("asks")), "blocks")
+    hot = hot_keys(blocks, ["grp"], blocks.agg(F.sum("asks")).first()[0] or 0, "asks")
+    asked = join_groups(opened.withColumnRenamed("other", "grp"), blocks, ["grp"], hot, ["cls"]).select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
     asked = asked.join(sets, "cls").select("grp", "block", F.lit(1).alias("part"), "cls", "tokens")
     held = members.join(blocks, "grp").select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     held = held.join(sets, "cls").select("grp", "block", F.lit(0).alias("part"), "cls", "tokens")
@@ -342,7 +352,9 @@ def rarest(held: DataFrame, percent: int) -> DataFrame:
     """
     each = held.select("cls", "n", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ordered = each.join(counts, "token").groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token")))["token"].alias("tokens"))
+    counts = staged(counts, "token-counts")
+    hot = hot_keys(counts, ["token"], counts.agg(F.sum("df")).first()[0] or 0, "df")
+    ordered = join_groups(each, counts, ["token"], hot, ["cls"]).groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token")))["token"].alias("tokens"))
     return ordered.withColumn("tokens", F.slice("tokens", F.lit(1), F.expr(f"cast(size(tokens) - {least_overlap('n', percent)} + {few('n', percent)} AS int)")))
 
 
@@ -374,14 +386,14 @@ def class_components(docs: DataFrame, words: int, percent: int, bits: int = 64)
     the first hashes that several sets have, if any. bits: of the first hash (fewer in tests, so that sets share one)."""
     base = id_and_text(docs)
     table = staged(prefixes(base, words, percent, bucket_levels(base, words), bits), "prefixes")
-    of_class = [F.first("n").alias("n"), F.min("doc_id").alias("first_doc")]
+    of_class = [F.first("n").alias("n"), F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("docs")]
     classes = staged(table.where("n > 0").groupBy("cls").agg(*of_class, (F.min("check") != F.max("check")).alias("several")), "classes")
     shared = None
     if not classes.where("several").isEmpty():
         shared = staged(classes.where("several").select("cls"), "classes-of-several-sets")
         table = staged(told_apart(table, shared), "prefixes")
         classes = staged(table.where("n > 0").groupBy("cls").agg(*of_class), "classes")
-    met = staged(shared_tokens(table.where("n > 0").select("cls", "n", F.explode("prefix").alias("token")), percent), "met")
+    met = staged(shared_tokens(table.where("n > 0 AND fresh").select("cls", "n", F.explode("prefix").alias("token")), percent), "met")
     # classes that go take their tokens along, which leaves others with too few
     for _ in range(ROUNDS):
         held = staged(with_enough(met, percent), "held")
@@ -416,10 +428,12 @@ def class_components(docs: DataFrame, words: int, percent: int, bits: int = 64)
     roots = components(links)
     joined = roots.select(F.col("node").alias("cls"), "root").unionByName(roots.select(F.col("root").alias("cls"), "root").distinct())
     joined = staged(joined.join(classes.select("cls", "first_doc"), "cls"), "joined")
-    least = staged(joined.groupBy("root").agg(F.min("first_doc").alias("component")), "least")
-    named = staged(joined.join(least, "root").select("cls", "component", "root"), "named")
+    least = staged(joined.groupBy("root").agg(F.min("first_doc").alias("component"), F.count(F.lit(1)).alias("members")), "least")
+    hot = hot_keys(least, ["root"], least.agg(F.sum("members")).first()[0] or 0, "members")
+    named = staged(join_groups(joined, least, ["root"], hot, ["cls"]).select("cls", "component", "root"), "named")
     final = staged(classes.select("cls", "first_doc").join(named, "cls", "left").select("cls", F.coalesce("component", "first_doc").alias("component_id"), F.coalesce("root", "cls").alias("root")), "components")
-    out = table.select("doc_id", "cls", "n").join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
+    hot = hot_keys(classes, ["cls"], classes.agg(F.sum("docs")).first()[0] or 0, "docs")
+    out = join_groups(table.select("doc_id", "cls", "n"), final, ["cls"], hot, ["doc_id"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls", "root")
     return out, shared
 
 

@@ -20,6 +20,10 @@ from loomline.llm.common import bounded_batches, crc_bucket, text_slices
 
 PROFILE = 300
 UNKNOWN = "und"
+#: Languages that can be learned: each has a profile of PROFILE n-grams on the driver and in every task. More raise an error.
+MOST_LANGUAGES = 2000
+#: Distinct n-grams that a counting task holds before it hands its sums on.
+HELD_GRAMS = 2_000_000
 
 #: For each character what it counts as: 0 not looked up yet, 32 for what is no letter or mark, else itself in lower case. Filled as characters occur.
 _FOLDED = np.zeros(0x110000, np.uint32)
@@ -58,13 +62,26 @@ def _row_of(where: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
     """The most frequent n-grams of each language over all rows of docs (text, lang; both not null), ties by n-gram.
 
-    A task counts its part of the corpus; the counts are added up in Spark, and length rows a language come to the driver.
+    A task counts its part of the corpus, and hands its sums on whenever they have many n-grams; the counts are added up in Spark, and length rows a language
+    come to the driver. More than MOST_LANGUAGES languages raise an error.
     """
+    bounded_batches(docs.sparkSession)
+    known = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    if known.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, (g, n) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+            sums.clear()
+
         for batch in batches:
             for part, data, offsets in text_slices(batch):
+                if sum(len(g) for g, _ in sums.values()) > HELD_GRAMS:
+                    yield from flush()
                 grams, where, rows = _grams(data, offsets)
                 langs = np.array(part.column("lang").to_pylist(), object)
                 rows = _row_of(where, rows)
@@ -74,11 +91,9 @@ def profiles(docs: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
                         g, back = np.unique(np.r_[sums[lang][0], g], return_inverse=True)
                         n = np.bincount(back, np.r_[sums[lang][1], n]).astype(np.int64)
                     sums[lang] = g, n
-        for lang, (g, n) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+        yield from flush()
 
-    bounded_batches(docs.sparkSession)
-    counts = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL").mapInArrow(count, "lang string, gram long, n long")
+    counts = known.mapInArrow(count, "lang string, gram long, n long")
     totals = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     out: dict[str, list[int]] = {}

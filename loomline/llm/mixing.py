@@ -112,8 +112,10 @@ def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, s
         plan.append((passes * -(-n // block) + -(-rest // block), rest))
     drawn = shard_draws([x for x, _ in plan], shards, seed)
     before = np.cumsum(drawn, axis=0) - drawn
-    cells = [(s, k, sources[k][0], int(drawn[s, i]), int(before[s, i]), plan[i][0], plan[i][1], zlib.crc32(f"{seed}|{k}".encode())) for s in range(shards) for i, k in enumerate(names) if drawn[s, i]]
-    cells = spark.createDataFrame(cells, "shard int, key string, n long, draws long, before long, all long, rest long, seed long")
+    # a row a source comes from the driver; its shards' cells are made in Spark
+    each = [(k, sources[k][0], *plan[i], zlib.crc32(f"{seed}|{k}".encode()), drawn[:, i].tolist(), before[:, i].tolist()) for i, k in enumerate(names)]
+    each = spark.createDataFrame(each, "key string, n long, all long, rest long, seed long, draws array<long>, before array<long>")
+    cells = each.select("key", "n", "all", "rest", "seed", F.posexplode(F.arrays_zip("draws", "before")).alias("shard", "x")).select("key", "n", "all", "rest", "seed", "shard", "x.draws", "x.before").where("draws > 0")
     step = 1 << 16
     lots = cells.withColumn("lot", F.explode(F.expr(f"sequence(0L, (draws - 1) div {step})")))
     lots = lots.repartition("shard", "key", "lot") if sum(x for x, _ in plan) > step else lots

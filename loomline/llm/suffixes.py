@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.llm.common import id_and_text, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
+from loomline.llm.common import hot_keys, id_and_text, join_groups, mix, span_hashes, spans, staged, text_slices, window_hashes, with_known_ids
 
 WINDOW = 30
 STEP = 21
@@ -229,7 +229,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     known = staged(stretches_and_questions(of_doc), "stretches")
     asked = staged(known.where("doc_id IS NULL").groupBy(F.col("a").alias("h")).agg(F.bit_or("b").alias("bits")), "asked")
     # all documents with such a seed answer: whoever shares a run has the seed in it
-    answering = seeds.select("doc_id", "pos", "h").join(asked, "h").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "bits")).alias("seeds"))
+    holders = seeds.select("doc_id", "pos", "h")
+    answering = join_groups(holders, asked, ["h"], hot_keys(holders, ["h"], holders.count()), ["doc_id", "pos"]).groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "bits")).alias("seeds"))
     answering = staged(answering, "answering")
     live = with_known_ids(base, answering.select("doc_id"), answering.count())  # ids alone are broadcast; the seeds, which grow with the texts, are not
     runs = staged(runs_around(live.join(answering, "doc_id").select("doc_id", "text", "seeds")), "runs")
