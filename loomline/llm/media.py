@@ -13,7 +13,9 @@ image of 16 x 16 pixel units, its height first; a comment holds their number.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +30,8 @@ BLOCK = 64
 #: Units of 16 pixels that a side may have.
 MOST_UNITS = 4095
 LONGEST_RUN = 32767
+#: Bytes of tensors that go to the JVM at a time, but for a larger one.
+TENSOR_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=1)
@@ -455,21 +459,64 @@ def stored_texts(docs: DataFrame) -> DataFrame:
 def decoded(media: DataFrame) -> DataFrame:
     """media (doc_id, n_bytes, media: progressive files) with payload (the bytes that store_payload put in, null in other files), height, width and rgb: the
     full-resolution tensor's unsigned bytes, row by row, three a pixel. Null media give nulls; equal files equal rows."""
-    columns = ["doc_id", "n_bytes", "media"]
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["doc_id", "n_bytes", "media", "payload", "height", "width", "rgb"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal rows, size
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            rows, size = [], 0
+            return out
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                data = batch.column("media")[i].as_py()
-                values: tuple = (None, None, None, None)
-                if data is not None:
-                    image = read_progressive(data)
-                    payload = payload_of(image).tobytes() if image.comment.startswith(b"blocks=") else None
-                    values = (payload, image.height, image.width, image.tensor().tobytes())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in columns), *(pa.array([v], t) for v, t in zip(values, kinds, strict=True))], [*columns, "payload", "height", "width", "rgb"])
+            for doc_id, n, data in zip(*(batch.column(c).to_pylist() for c in names[:3]), strict=True):
+                if data is None:
+                    rows.append((doc_id, n, None, None, None, None, None))
+                    continue
+                image = read_progressive(data)
+                payload = payload_of(image).tobytes() if image.comment.startswith(b"blocks=") else None
+                rgb = image.tensor()
+                rows.append((doc_id, n, data, payload, image.height, image.width, rgb.tobytes()))
+                size += rgb.nbytes
+                if size > TENSOR_BYTES:
+                    yield flush()
+        if rows:
+            yield flush()
+
+    return media.select(*names[:3]).mapInArrow(decode, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary")
+
+
+def _feature(rgb: np.ndarray, height: int, width: int) -> str:
+    sums = rgb.reshape(-1, 3).sum(axis=0, dtype=np.int64)
+    return f"{height}x{width} rgb " + " ".join(f"{int(x) / (height * width):.3f}" for x in sums)
+
+
+def media_digests(media: DataFrame) -> DataFrame:
+    """What media_features() says of decoded(media), made where the files are read back: no payload or tensor leaves the task."""
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, n, data in zip(batch.column("doc_id").to_pylist(), batch.column("n_bytes").to_pylist(), batch.column("media"), strict=True):
+                data = data.as_py()
+                if data is None:
+                    rows.append((doc_id, n, *[None] * 6))
+                    continue
+                image = read_progressive(data)
+                payload = payload_of(image).tobytes() if image.comment.startswith(b"blocks=") else None
+                of_payload = (None, None, None) if payload is None else (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]))
+                rows.append((doc_id, n, *of_payload, len(data), hashlib.sha256(data).hexdigest(), _feature(image.tensor(), image.height, image.width)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return media.select(*columns).mapInArrow(decode, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary")
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(digest, schema)
 
 
 def channel_means(tensors: DataFrame) -> DataFrame:
@@ -483,8 +530,7 @@ def channel_means(tensors: DataFrame) -> DataFrame:
                 if high is None:
                     out.append(None)
                     continue
-                sums = np.frombuffer(rgb.as_buffer(), np.uint8).reshape(-1, 3).sum(axis=0, dtype=np.int64)
-                out.append(f"{high}x{wide} rgb " + " ".join(f"{int(x) / (high * wide):.3f}" for x in sums))
+                out.append(_feature(np.frombuffer(rgb.as_buffer(), np.uint8), high, wide))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "feature"])
 
     return tensors.mapInArrow(add, "doc_id long, n_bytes long, media binary, payload binary, feature string")

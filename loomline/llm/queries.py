@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_media_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(media.decoded(media.stored_texts(_table(spark, sf_dir, "documents"))))
+    return media.media_digests(media.stored_texts(_table(spark, sf_dir, "documents")))
 
 
 def op2_sharding_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
