@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomline.operators.render import MESSAGE
 from loomline.operators.validate import ID_MARK
@@ -89,6 +90,14 @@ def rows() -> list[tuple[str, int, str, str]]:
     return [(name, turn, role, content) for name, messages in CASES.items() for turn, (role, content) in enumerate(messages)]
 
 
+def over(conversations: DataFrame) -> DataFrame:
+    """id and messages: each conversation (conv_id) with the messages of one case, by its id, and its own number in the id."""
+    spark = conversations.sparkSession
+    numbered = spark.createDataFrame([(k, name, [(role, content, None, None) for role, content in messages]) for k, (name, messages) in enumerate(CASES.items())], f"k int, name string, messages {MESSAGE.simpleString()}")
+    ids = conversations.select("conv_id").distinct().withColumn("k", F.pmod("conv_id", F.lit(len(CASES))).cast("int"))
+    return ids.join(F.broadcast(numbered), "k").select(F.concat_ws(" ", "conv_id", "name").alias("id"), "messages")
+
+
 def trajectories(spark: SparkSession) -> DataFrame:
     """id and messages of the cases."""
     table = [(name, [(role, content, None, None) for role, content in messages]) for name, messages in CASES.items()]

@@ -13,8 +13,8 @@ from loomline.operators.sampler import FRESH, with_intents
 from loomline.plans import generate
 from loomline.sources import dimensions
 
-#: Rows of a bulk run.
-N = 100_000
+#: What the draws are for: the ids of a table, a trajectory each.
+ROWS = "(SELECT event_id AS id FROM events) r"
 SEED = generate.SEED
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+
+
 def _u(stream: str, seed: int | str = SEED, row: str = "id") -> str:
     """SQL for draws.uniform."""
     return f"(('0x' || substr(md5('{seed}|{stream}|' || {row}), 1, 8))::BIGINT / 4294967296::DOUBLE)" if isinstance(seed, int) else f"(('0x' || substr(md5({seed} || '|{stream}|' || {row}), 1, 8))::BIGINT / 4294967296::DOUBLE)"
@@ -64,7 +68,7 @@ def diverse_sql(rows: str) -> str:
     """CTEs that end with diverse: id, tool_name, query, arguments of the diversity sampler's picks."""
     return f"""i(tool_name, idx, query, arguments) AS (VALUES {rows}),
 p AS (SELECT *, row_number() OVER (PARTITION BY tool_name ORDER BY md5('{SEED}|perm|' || tool_name || '|' || idx), idx) AS k, count(*) OVER (PARTITION BY tool_name) AS n FROM i),
-d AS (SELECT id, {_TOOL} AS tool_name FROM range({N}) r(id)),
+d AS (SELECT id, {_TOOL} AS tool_name FROM {ROWS}),
 f AS (SELECT d.*, (SELECT max(n) FROM p WHERE p.tool_name = d.tool_name) AS n, {_u('fresh')} < {FRESH}::DOUBLE AS fresh FROM d),
 g AS (SELECT *, sum((fresh AND n IS NOT NULL)::INT) OVER (PARTITION BY tool_name ORDER BY id) AS c FROM f),
 h AS (SELECT g.*, CASE WHEN fresh AND c <= n THEN c END AS k FROM g),
@@ -200,35 +204,37 @@ def event_props_json_keys(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(has).alias("with_k"), F.countDistinct(F.get_json_object("props", "$.k")).alias("n_values"))
 
 
-@query(f"SELECT {_TOOL} AS tool_name, count(*) AS n, min(id) AS first_seen, round(count(*) * 100.0::DOUBLE / {N}, 6) AS pct FROM range({N}) r(id) GROUP BY 1")
+@query(f"SELECT {_TOOL} AS tool_name, count(*) AS n, min(id) AS first_seen, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM events), 6) AS pct FROM {ROWS} GROUP BY 1")
 def gen_tool_distribution(spark, sf_dir):
-    rows = spark.range(N).select("id", draws.tool(SEED, F.col("id")).alias("tool_name"))
-    return rows.groupBy("tool_name").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_seen"), F.round(F.count(F.lit(1)) * 100.0 / N, 6).alias("pct"))
+    rows = row_ids(spark, sf_dir).select("id", draws.tool(SEED, F.col("id")).alias("tool_name"))
+    counts = rows.groupBy("tool_name").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_seen"))
+    return counts.withColumn("pct", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 6))
 
 
-@query(f"SELECT {_ladder(_u('difficulty'), dimensions.DIFFICULTIES)} AS difficulty, count(*) AS n FROM range({N}) r(id) GROUP BY 1")
+@query(f"SELECT {_ladder(_u('difficulty'), dimensions.DIFFICULTIES)} AS difficulty, count(*) AS n FROM {ROWS} GROUP BY 1")
 def gen_difficulty(spark, sf_dir):
-    return spark.range(N).groupBy(draws.difficulty(SEED, F.col("id")).alias("difficulty")).agg(F.count(F.lit(1)).alias("n"))
+    return row_ids(spark, sf_dir).groupBy(draws.difficulty(SEED, F.col("id")).alias("difficulty")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}) SELECT language, tone, formality, count(*) AS n FROM range({N}) r(id) JOIN l ON l.pos = floor({_u('locale')} * {len(dimensions.LOCALES)})::INT GROUP BY ALL")
+@query(f"WITH l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}) SELECT language, tone, formality, count(*) AS n FROM {ROWS} JOIN l ON l.pos = floor({_u('locale')} * {len(dimensions.LOCALES)})::INT GROUP BY ALL")
 def gen_locale(spark, sf_dir):
-    return generate.bulk_draws(spark, N).groupBy("language", "tone", "formality").agg(F.count(F.lit(1)).alias("n"))
+    return generate.bulk_draws(spark, row_ids(spark, sf_dir)).groupBy("language", "tone", "formality").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT {_TOOL} AS tool_name, count(*) AS n, count(*) FILTER ({_u('failure')} > 0.15::DOUBLE) AS n_success FROM range({N}) r(id) GROUP BY 1")
+@query(f"SELECT {_TOOL} AS tool_name, count(*) AS n, count(*) FILTER ({_u('failure')} > 0.15::DOUBLE) AS n_success FROM {ROWS} GROUP BY 1")
 def gen_success_rate(spark, sf_dir):
-    return generate.bulk_draws(spark, N).groupBy("tool_name").agg(F.count(F.lit(1)).alias("n"), F.count_if("success").alias("n_success"))
+    return generate.bulk_draws(spark, row_ids(spark, sf_dir)).groupBy("tool_name").agg(F.count(F.lit(1)).alias("n"), F.count_if("success").alias("n_success"))
 
 
 @query(f"WITH {diverse_sql(intent_rows())} SELECT id, tool_name, query FROM diverse")
 def gen_intent_diversity(spark, sf_dir):
-    return with_intents(spark, generate.bulk_draws(spark, N), N, prefix=1024).select("id", "tool_name", "query")
+    ids, above = generate.ids_of(spark, row_ids(spark, sf_dir))
+    return with_intents(spark, generate.bulk_draws(spark, ids), above, prefix=1024).select("id", "tool_name", "query")
 
 
-@query("SELECT l AS language, t AS tone, f AS formality, count(*) AS n FROM (VALUES ('en'), ('hi'), ('es')) a(l), (VALUES ('casual'), ('technical')) b(t), (VALUES ('formal'), ('neutral')) c(f), range(5) GROUP BY ALL")
+@query("SELECT l AS language, t AS tone, f AS formality, count(*) AS n FROM (VALUES ('en'), ('hi'), ('es')) a(l), (VALUES ('casual'), ('technical')) b(t), (VALUES ('formal'), ('neutral')) c(f), supplier GROUP BY ALL")
 def gen_locale_cross_product(spark, sf_dir):
-    made = generate.localized_batch(spark, ["en", "hi", "es"], ["casual", "technical"], ["formal", "neutral"], 5)
+    made = generate.localized_batch(spark, ["en", "hi", "es"], ["casual", "technical"], ["formal", "neutral"], _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")))
     return made.groupBy(*[F.col(f"localization.{c}").alias(c) for c in ("language", "tone", "formality")]).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -236,9 +242,12 @@ _CONFIG_ROWS = ", ".join(f"('{n}', {langs!r}, {tones!r}, {list(forms)!r})" for n
 
 
 @query(f"""WITH l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}), c(dataset, ls, ts, fs) AS (VALUES {_CONFIG_ROWS})
-SELECT dataset, language, tone, formality FROM c, l WHERE list_contains(ls, language) AND list_contains(ts, tone) AND list_contains(fs, formality)""")
+SELECT dataset, language, tone, formality, (SELECT count(*) FROM documents WHERE lang = language) AS n_documents FROM c, l WHERE list_contains(ls, language) AND list_contains(ts, tone) AND list_contains(fs, formality)""")
 def gen_config_locale_matches(spark, sf_dir):
-    return generate.config_locales(spark).select("dataset", F.inline("locales")).select("dataset", "language", "tone", "formality")
+    """Each config's locales, with the number of documents in their language."""
+    n = _t(spark, sf_dir, "documents").groupBy(F.col("lang").alias("language")).agg(F.count(F.lit(1)).alias("n_documents"))
+    fits = generate.config_locales(spark).select("dataset", F.inline("locales")).select("dataset", "language", "tone", "formality")
+    return fits.join(n, "language", "left").select("dataset", "language", "tone", "formality", F.coalesce("n_documents", F.lit(0)).alias("n_documents"))
 
 
 def rules_sql(command: str = "command") -> str:
@@ -246,19 +255,27 @@ def rules_sql(command: str = "command") -> str:
     return "CASE " + " ".join(f"WHEN {' OR '.join(f'({clause(w)})' for w in clauses)} THEN '{name}'" for name, clauses in dimensions.BASH_RULES) + " ELSE 'other' END"
 
 
-@query("WITH c(command) AS (VALUES " + ", ".join("('{}')".format(c.replace("'", "''")) for c in dimensions._COMMANDS) + f") SELECT command, {rules_sql()} AS rule FROM c")
+_COMMAND_OF = "(WITH c(k, command) AS (VALUES " + ", ".join("({}, '{}')".format(i, c.replace("'", "''")) for i, c in enumerate(dimensions._COMMANDS)) + f") SELECT doc_id, command || ' ' || text AS command FROM documents JOIN c ON k = doc_id % {len(dimensions._COMMANDS)})"
+
+
+@query(f"SELECT doc_id, {rules_sql()} AS rule, length(command) AS n_chars FROM {_COMMAND_OF}")
 def gen_bash_dispatch(spark, sf_dir):
-    return dimensions.intents(spark).where("tool_name = 'Bash'").select(F.get_json_object("arguments", "$.command").alias("command")).withColumn("rule", render.bash_rule(F.col("command")))
+    """The rule that each document's command meets: one of the Bash intents', and the document's text after it."""
+    commands = dimensions.intents(spark).where("tool_name = 'Bash'").select(F.col("idx").alias("k"), F.get_json_object("arguments", "$.command").alias("command"))
+    rows = _t(spark, sf_dir, "documents").withColumn("k", (F.col("doc_id") % len(dimensions._COMMANDS)).cast("int")).join(F.broadcast(commands), "k")
+    rows = rows.select("doc_id", F.concat("command", F.lit(" "), "text").alias("command"))
+    return rows.select("doc_id", render.bash_rule(F.col("command")).alias("rule"), F.length("command").cast("long").alias("n_chars"))
 
 
-_CONFIG_SEEDS = ", ".join(f"('{n}', {s}, {r})" for n, s, r, *_ in dimensions.CONFIGS)
+_CONFIG_SEEDS = ", ".join(f"('{n}', {s}, {i})" for i, (n, s, *_) in enumerate(dimensions.CONFIGS))
 
 
-@query(f"""WITH c(dataset, seed, rows) AS (VALUES {_CONFIG_SEEDS}), cl(dataset, ls, ts, fs) AS (VALUES {_CONFIG_ROWS}), l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}),
+@query(f"""WITH c(dataset, seed, k) AS (VALUES {_CONFIG_SEEDS}), cl(dataset, ls, ts, fs) AS (VALUES {_CONFIG_ROWS}), l(pos, language, tone, formality) AS (VALUES {_LOCALE_ROWS}),
 fit AS (SELECT dataset, language, row_number() OVER (PARTITION BY dataset ORDER BY pos) - 1 AS k, count(*) OVER (PARTITION BY dataset) AS n_fit FROM cl, l WHERE list_contains(ls, language) AND list_contains(ts, tone) AND list_contains(fs, formality)),
-d AS (SELECT dataset, seed, unnest(range(rows)) AS id FROM c),
+d AS (SELECT dataset, seed, event_id // {len(dimensions.CONFIGS)} AS id FROM events JOIN c ON k = event_id % {len(dimensions.CONFIGS)}),
 x AS (SELECT d.dataset, id, language, {_tool_sql('seed')} AS tool_name, {_ladder(_u('difficulty', 'seed'), dimensions.DIFFICULTIES)} AS difficulty FROM d JOIN fit ON fit.dataset = d.dataset AND fit.k = floor({_u('locale', 'seed')} * n_fit)::INT)
-SELECT dataset, CASE WHEN grouping(tool_name) = 0 THEN 'tool_name' WHEN grouping(difficulty) = 0 THEN 'difficulty' ELSE 'language' END AS dimension, coalesce(tool_name, difficulty, language) AS value, count(*) AS n, min(id) AS first_seen, round(count(*) / 10.0::DOUBLE, 6) AS pct
+SELECT dataset, CASE WHEN grouping(tool_name) = 0 THEN 'tool_name' WHEN grouping(difficulty) = 0 THEN 'difficulty' ELSE 'language' END AS dimension, coalesce(tool_name, difficulty, language) AS value, count(*) AS n, min(id) AS first_seen,
+ round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (PARTITION BY dataset, grouping(tool_name), grouping(difficulty)), 6) AS pct
 FROM x GROUP BY GROUPING SETS ((dataset, tool_name), (dataset, difficulty), (dataset, language))""")
 def gen_report_by_dataset(spark, sf_dir):
-    return report.distribution(generate.config_draws(spark), ["tool_name", "difficulty", "language"]).withColumn("pct", F.round("pct", 6))
+    return report.distribution(generate.config_draws(spark, row_ids(spark, sf_dir)), ["tool_name", "difficulty", "language"]).withColumn("pct", F.round("pct", 6))

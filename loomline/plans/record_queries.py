@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomline.operators import render, report, validate
 from loomline.plans import cases, generate
-from loomline.plans.queries import N, SEED, _t, _tool_sql, _u, diverse_sql, intent_rows, query, rules_sql
+from loomline.plans.queries import ROWS, SEED, _t, _tool_sql, _u, diverse_sql, intent_rows, query, row_ids, rules_sql
 from loomline.sources import dimensions, jsonl
 from loomline.streaming import validator
 
@@ -62,25 +62,30 @@ f AS (
  UNION ALL SELECT id, -1, NULL, 0, 'last message must be assistant' FROM messages JOIN cases USING (id) WHERE place = n - 1 AND role <> 'assistant')"""
 
 
-_EMPTY = ", ".join(f"('{name}')" for name, m in cases.CASES.items() if not m)
-_MESSAGES_OF_CASES = f"SELECT * FROM (VALUES {_values(cases.rows())}) v(id, turn, role, content)"
-_ISSUES = f"""{issues_sql(_MESSAGES_OF_CASES)}, known AS (SELECT * FROM cases UNION ALL SELECT id, 0 FROM (VALUES {_EMPTY}) v(id)),
+_NUMBERED = f"SELECT DISTINCT conv_id || ' ' || name AS id, name FROM conversations JOIN (VALUES {_values(enumerate(cases.CASES))}) c(k, name) ON k = conv_id % {len(cases.CASES)}"
+_MESSAGES_OF_CASES = f"SELECT n.id, turn, role, content FROM ({_NUMBERED}) n JOIN (VALUES {_values(cases.rows())}) v(name, turn, role, content) USING (name)"
+_EMPTY = ", ".join(f"'{name}'" for name, m in cases.CASES.items() if not m)
+_ISSUES = f"""{issues_sql(_MESSAGES_OF_CASES)}, known AS (SELECT * FROM cases UNION ALL SELECT id, 0 FROM ({_NUMBERED}) WHERE name IN ({_EMPTY})),
 i AS (SELECT known.id, n, CASE WHEN n < 4 THEN 'too few messages' ELSE coalesce(string_agg(issue, '; ' ORDER BY place, k), '') END AS issues FROM known LEFT JOIN f USING (id) GROUP BY known.id, n)"""
 
 
+def _cases(spark, sf_dir):
+    return cases.over(_t(spark, sf_dir, "conversations"))
+
+
 @query(f"WITH {_ISSUES} SELECT id, issues FROM i")
 def validator_cases(spark, sf_dir):
-    return validate.structural_issues(cases.trajectories(spark)).select("id", F.array_join("issues", "; ").alias("issues"))
+    return validate.structural_issues(_cases(spark, sf_dir)).select("id", F.array_join("issues", "; ").alias("issues"))
 
 
 @query(f"WITH {_ISSUES} SELECT count(*) AS total, count(*) FILTER (issues = '') AS valid, count(*) FILTER (issues <> '') AS invalid FROM i")
 def validator_batch_stats(spark, sf_dir):
-    return validate.batch_stats(validate.structural_issues(cases.trajectories(spark)))
+    return validate.batch_stats(validate.structural_issues(_cases(spark, sf_dir)))
 
 
 @query(f"WITH {_ISSUES} SELECT id, n AS n_messages FROM i WHERE issues = ''")
 def valid_cases_only(spark, sf_dir):
-    return validate.valid_only(cases.trajectories(spark)).select("id", F.size("messages").alias("n_messages"))
+    return validate.valid_only(_cases(spark, sf_dir)).select("id", F.size("messages").alias("n_messages"))
 
 
 _REQUIRED = _values((name, a) for name, _, _, _, args in dimensions.TOOLS for a, _, r in args if r)
@@ -123,7 +128,7 @@ UNION ALL SELECT DISTINCT id, NULL, 'BAD_ALTERNATION', 'SEQUENCE' FROM s WHERE r
 
 @query(f"SELECT id, turn::INT AS turn, code, category FROM ({codes_sql(_MESSAGES_OF_CASES)})")
 def critic_cases(spark, sf_dir):
-    return validate.critique(cases.trajectories(spark))
+    return validate.critique(_cases(spark, sf_dir))
 
 
 _ARG = "json_extract_string(arguments, '$.{}')"
@@ -179,7 +184,7 @@ c AS (SELECT r.*, texts[floor({_u('message')} * len(texts))::INT + 1] || CASE WH
  CASE WHEN success THEN {_OUTPUT} ELSE json_object('error', cause, 'exit_code', 1) END::VARCHAR AS output, {_ANSWER} || ' ' || closing AS answer,
  language, category, 1 AS num_tools, 'system user assistant tool assistant' AS roles FROM c""")
 def gen_rendered_messages(spark, sf_dir):
-    made = generate.bulk(spark, N, repair=True, generated_at=STAMP)
+    made = generate.bulk(spark, row_ids(spark, sf_dir), repair=True, generated_at=STAMP)
     m = lambda i, path: F.get_json_object(F.get("messages", F.lit(i))["content"], path)
     return made.select(
         "id", F.col("metadata.tool_name").alias("tool_name"), F.col("metadata.success").alias("success"), F.md5(F.get("messages", F.lit(0))["content"].cast("binary")).alias("prompt"), F.get("messages", F.lit(1))["content"].alias("user_text"),
@@ -190,7 +195,7 @@ def gen_rendered_messages(spark, sf_dir):
 
 @query(f"""WITH {diverse_sql(intent_rows())} SELECT count(*) AS total, count(*) FILTER (json_valid(arguments) AND tool_name IN ({_NAMES})) AS valid, count(*) FILTER (NOT json_valid(arguments) OR tool_name NOT IN ({_NAMES})) AS invalid FROM diverse""")
 def gen_trajectories_valid(spark, sf_dir):
-    return validate.batch_stats(validate.structural_issues(generate.bulk_unchecked(spark, N)))
+    return validate.batch_stats(validate.structural_issues(generate.bulk_unchecked(spark, row_ids(spark, sf_dir))))
 
 
 @query(f"""WITH required(tool_name, arg) AS (VALUES {_REQUIRED}), {diverse_sql(intent_rows())},
@@ -198,40 +203,46 @@ x AS (SELECT id, 'MISSING_ARG' AS code, 'TOOL_CALL' AS category FROM diverse JOI
  UNION ALL SELECT id, 'NOT_GROUNDED', 'FINAL_ANSWER' FROM diverse WHERE tool_name = 'Bash' AND NOT contains(json_extract_string(arguments, '$.command'), 'Bash'))
 SELECT code, category, count(*) AS n FROM x GROUP BY code, category""")
 def gen_critic_issue_counts(spark, sf_dir):
-    return validate.critique(generate.bulk_unchecked(spark, N)).groupBy("code", "category").agg(F.count(F.lit(1)).alias("n"))
+    return validate.critique(generate.bulk_unchecked(spark, row_ids(spark, sf_dir))).groupBy("code", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""WITH i(tool_name, idx, query, arguments) AS (VALUES {_values(dimensions.LIBRARY_INTENTS)}), n AS (SELECT tool_name, count(*) AS n FROM i GROUP BY 1),
-d AS (SELECT id, {_tool_sql()} AS tool_name FROM range({N}) r(id)), e AS (SELECT d.*, floor({_u('intent')} * n)::INT AS idx FROM d LEFT JOIN n USING (tool_name))
+d AS (SELECT id, {_tool_sql()} AS tool_name FROM {ROWS}), e AS (SELECT d.*, floor({_u('intent')} * n)::INT AS idx FROM d LEFT JOIN n USING (tool_name))
 SELECT e.id, e.tool_name, coalesce(i.query, 'use ' || e.tool_name) AS query, coalesce(i.arguments, '{{}}') AS arguments FROM e LEFT JOIN i ON i.tool_name = e.tool_name AND i.idx = e.idx""")
 def gen_library_intents(spark, sf_dir):
-    made = generate.library_batch(spark, N, generated_at=STAMP)
+    made = generate.library_batch(spark, row_ids(spark, sf_dir), generated_at=STAMP)
     return made.select("id", F.col("metadata.tool_name").alias("tool_name"), F.get("messages", F.lit(1))["content"].alias("query"), F.get_json_object(F.get("messages", F.lit(2))["content"], "$.arguments").alias("arguments"))
 
 
 @query(f"""WITH m(kind, difficulty, language, idx, text) AS (VALUES {_MESSAGES}),
-g AS (SELECT * FROM (VALUES ('easy'), ('medium'), ('hard'), ('expert'), (NULL)) a(difficulty), (SELECT DISTINCT language FROM m UNION ALL SELECT 'xx' UNION ALL SELECT NULL) b)
-SELECT g.difficulty, g.language, string_agg(text, '|' ORDER BY idx) FILTER (kind = 'success') AS done, string_agg(text, '|' ORDER BY idx) FILTER (kind = 'error') AS failed FROM g
+g AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' WHEN 2 THEN 'hard' WHEN 3 THEN 'expert' END AS difficulty, CASE doc_id % 7 WHEN 5 THEN 'xx' WHEN 6 THEN NULL ELSE lang END AS language FROM documents)
+SELECT doc_id, g.difficulty, g.language, string_agg(text, '|' ORDER BY idx) FILTER (kind = 'success') AS done, string_agg(text, '|' ORDER BY idx) FILTER (kind = 'error') AS failed FROM g
 JOIN m ON m.difficulty = CASE WHEN g.difficulty IN ('easy', 'medium', 'hard') THEN g.difficulty ELSE 'easy' END
- AND m.language = CASE WHEN g.language IN (SELECT language FROM m) THEN g.language ELSE 'en' END GROUP BY g.difficulty, g.language""")
+ AND m.language = CASE WHEN g.language IN (SELECT language FROM m) THEN g.language ELSE 'en' END GROUP BY doc_id, g.difficulty, g.language""")
 def message_fallbacks(spark, sf_dir):
-    grid = spark.createDataFrame([(d, lang) for d in ("easy", "medium", "hard", "expert", None) for lang in (*dimensions.LANGUAGES, "xx", None)], "difficulty string, language string")
-    met = render.message_texts(grid, F.col("difficulty"), F.col("language"), "done", "failed")
-    return met.select("difficulty", "language", F.array_join("done", "|").alias("done"), F.array_join("failed", "|").alias("failed"))
+    """The closing sentences for each document, by its language and a difficulty of its number; some have none of either that is known."""
+    level = F.get(F.array(*[F.lit(d) for d in ("easy", "medium", "hard", "expert", None)]), (F.col("doc_id") % 5).cast("int"))
+    language = F.when(F.col("doc_id") % 7 == 5, "xx").when(F.col("doc_id") % 7 < 5, F.col("lang"))
+    rows = _t(spark, sf_dir, "documents").select("doc_id", level.alias("difficulty"), language.alias("language"))
+    met = render.message_texts(rows, F.col("difficulty"), F.col("language"), "done", "failed")
+    return met.select("doc_id", "difficulty", "language", F.array_join("done", "|").alias("done"), F.array_join("failed", "|").alias("failed"))
 
 
 @query(f"""WITH a(tool_name, description, position, argument, type, argument_description, required) AS (VALUES {_values((name, dimensions.DESCRIPTIONS[name], i, a, t, dimensions.ARGUMENT_DESCRIPTIONS[a], int(r)) for name, _, _, _, args in dimensions.TOOLS for i, (a, t, r) in enumerate(args))})
-SELECT tool_name, description, position, argument, type, argument_description, required = 1 AS required, count(*) FILTER (required = 1) OVER (PARTITION BY tool_name) AS n_required FROM a""")
+SELECT tool_name, description, position, argument, type, argument_description, required = 1 AS required, count(*) FILTER (required = 1) OVER (PARTITION BY tool_name) AS n_required, n_calls
+FROM a JOIN (SELECT {_tool_sql()} AS tool_name, count(*) AS n_calls FROM {ROWS} GROUP BY 1) USING (tool_name)""")
 def tool_function_schemas(spark, sf_dir):
+    """The function schemas of the tools that the rows draw, argument by argument, with how often they do."""
+    calls = generate.bulk_draws(spark, row_ids(spark, sf_dir)).groupBy("tool_name").agg(F.count(F.lit(1)).alias("n_calls"))
     made = jsonl.wire_tools(spark)
     f = spark.range(1).select(F.explode(made).alias("s")).select("s.function.*")
     rows = f.select(F.col("name").alias("tool_name"), "description", F.col("parameters.required").alias("r"), F.posexplode("parameters.properties").alias("position", "argument", "p"))
-    return rows.select("tool_name", "description", "position", "argument", F.col("p.type").alias("type"), F.col("p.description").alias("argument_description"), F.array_contains("r", F.col("argument")).alias("required"), F.size("r").cast("long").alias("n_required"))
+    return rows.select("tool_name", "description", "position", "argument", F.col("p.type").alias("type"), F.col("p.description").alias("argument_description"), F.array_contains("r", F.col("argument")).alias("required"), F.size("r").cast("long").alias("n_required")).join(F.broadcast(calls), "tool_name")
 
 
-@query(f"SELECT DISTINCT {_tool_sql()} AS tool_name FROM range({N}) r(id)")
+@query(f"SELECT DISTINCT {_tool_sql()} AS tool_name FROM {ROWS}")
 def gen_distinct_tools(spark, sf_dir):
-    return generate.bulk_draws(spark, N).select("tool_name").distinct()
+    return generate.bulk_draws(spark, row_ids(spark, sf_dir)).select("tool_name").distinct()
 
 
 @query("""WITH x AS (SELECT doc_id AS id, lang AS language, source AS tool_name, coalesce(quality::VARCHAR, '?') AS difficulty FROM documents LEFT JOIN labels USING (doc_id)),
