@@ -91,28 +91,31 @@ def _repaired(names: pa.Array, contents: pa.Array, codes: pa.Array) -> pa.Array:
 
 
 def until_clean(records: DataFrame, rounds: int = 20) -> DataFrame:
-    """id, messages, rounds, codes of records (id, messages): the messages as repaired, in how many rounds, and the codes that are left (sorted, each once).
+    """id, messages, rounds, codes of records (id, messages): the messages as repaired, in how many rounds, and the codes that are left (sorted, each once). Other
+    columns (but rounds and codes) stay.
 
     Records without messages and those without a rule for any of their codes come out as they are, after 0 rounds. Rules that undo each other would go on for
     ever; after `rounds` rounds a record is set aside as it stands. Rows are reviewed by themselves, so ids may repeat. An empty table gives an empty result.
     """
-    todo, aside = records.select("id", "messages", F.lit(0).alias("rounds")), []
+    rest = [c for c in records.columns if c not in ("id", "messages")]
+    kept = F.struct(*rest) if rest else F.lit(None).cast("string")
+    todo, aside = records.select("id", "messages", F.lit(0).alias("rounds"), kept.alias("kept_")), []
     left = F.array_sort(F.array_distinct(F.transform("codes", lambda x: x["code"]))).alias("codes")
     contents = F.transform("messages", lambda m: m["content"])
     for last in [*[False] * rounds, True]:
         seen = written(with_codes(todo), "reviewed")
-        aside.append(seen.where(F.lit(True) if last else F.size("codes") == 0).select("id", "messages", "rounds", left))
+        aside.append(seen.where(F.lit(True) if last else F.size("codes") == 0).select("id", "messages", "rounds", left, "kept_"))
         if last:
             break
         fixed = seen.where(F.size("codes") > 0).withColumn("fixed", _repaired(F.col("id").cast("string"), contents, F.col("codes")))
         fixed = written(fixed, "repaired")
         same = F.col("fixed").eqNullSafe(contents)
-        aside.append(fixed.where(same).select("id", "messages", "rounds", left))
+        aside.append(fixed.where(same).select("id", "messages", "rounds", left, "kept_"))
         messages = F.zip_with("messages", "fixed", lambda m, text: F.struct(m["role"].alias("role"), text.alias("content"), m["tool_call_id"].alias("tool_call_id"), m["name"].alias("name"))).cast(MESSAGE)
-        todo = fixed.where(~same).select("id", messages.alias("messages"), (F.col("rounds") + 1).alias("rounds"))
+        todo = fixed.where(~same).select("id", messages.alias("messages"), (F.col("rounds") + 1).alias("rounds"), "kept_")
         if todo.isEmpty():
             break
     out = aside[0]
     for more in aside[1:]:
         out = out.unionByName(more)
-    return out
+    return out.select("id", "messages", "rounds", "codes", *[F.col(f"kept_.{c}").alias(c) for c in rest])

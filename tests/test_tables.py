@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomline.functions.draws import uniform
 from loomline.operators import increments, picks, repair, report, split, validate
 from loomline.operators.render import MESSAGE
-from loomline.plans import cases
+from loomline.plans import cases, cli, generate
 from loomline.plans.review_queries import payload_records, payload_turns
 from loomline.sources import dimensions, jsonl, records
 from loomline.streaming import counts
@@ -258,3 +258,37 @@ def test_repair_until_nothing_changes(spark):
     assert set(stopped) == set(got) and max(stopped.values()) == 1
     no_messages = spark.createDataFrame([("a", None)], f"id string, messages {MESSAGE.simpleString()}")
     assert [(r["rounds"], r["codes"]) for r in repair.until_clean(no_messages).collect()] == [(0, [])]
+
+
+def json_lines(folder):
+    return [json.loads(line) for f in sorted(folder.glob("*.json")) for line in f.read_text().splitlines()]
+
+
+def test_jobs_on_files(spark, tmp_path):
+    """validate, stats, replay, convert and clean over written trajectories, damaged lines and records with every issue and code."""
+    files = tmp_path / "in"
+    jsonl.write(generate.bulk(spark, 40), str(files / "bulk"))
+    (files / "bulk" / "more.json").write_text("{damaged\n\n[1]\n" + "".join(json.dumps({"messages": [{"role": r, "content": c} for r, c in m]}) + "\n" for m in cases.CASES.values()))
+    n = len({json.dumps(m) for m in cases.CASES.values()})
+    assert n == len(cases.CASES)
+
+    def run(job, *more, source=files / "bulk"):
+        return cli.run_on_files(spark, cli.file_arguments([job, "--input", str(source), *more]))
+
+    valid = sum(not plain for plain in (r["issues"] for r in validate.structural_issues(cases.trajectories(spark)).collect()))
+    out = {k: str(tmp_path / k) for k in ("bad", "comments", "rejects")}
+    assert run("validate", "--bad-rows", out["bad"], "--comments", out["comments"], "--rejects", out["rejects"]) == [f"total {40 + n}", f"valid {40 + valid}", f"invalid {n - valid}", "rejected lines 2"]
+    assert {x["reason"] for x in json_lines(tmp_path / "rejects")} == {"not JSON", "not an object"} and len({x["code"] for x in json_lines(tmp_path / "comments")}) == 22
+    lines = run("stats")
+    assert sum(int(x.split(":")[1].split("(")[0]) for x in lines if x.startswith("tool_name ")) == 40 + n and any(x.startswith("tool_name ? ") for x in lines)
+    sample = run("replay", "--sample", "7", "--seed", "3")
+    assert len(set(sample)) == 7 and sample == run("replay", "--sample", "7", "--seed", "3") and sample != run("replay", "--sample", "7", "--seed", "4") and all("messages" in json.loads(x) for x in sample)
+    assert run("convert", "--output", str(tmp_path / "training")) == [f"converted {40 + n}"]
+    assert all(set(m) <= {"role", "content"} for x in json_lines(tmp_path / "training") for m in x["messages"])
+    said = run("clean", "--output", str(tmp_path / "clean"))
+    cleaned = json_lines(tmp_path / "clean")
+    assert said[0] == f"records {40 + n}" and len(cleaned) == 40 + n and said[2] == f"with codes left {sum('codes' in x for x in cleaned)}" and sum("metadata" in x for x in cleaned) == 40
+    again = run("clean", "--output", str(tmp_path / "again"), source=tmp_path / "clean")
+    assert again[1:] == ["repaired 0", said[2]]
+    with pytest.raises(SystemExit):
+        cli.file_arguments(["validate"])
