@@ -61,17 +61,27 @@ class Voters:
     weights: np.ndarray  # of each labelled row: how many rows of its label it stands for
 
     def score(self, texts: np.ndarray) -> np.ndarray:
-        """The weighted vote of each text's nearest labelled vectors; a text without direction gets the labels' mean."""
+        """The weighted vote of each text's nearest labelled vectors (of equally near ones those of the smallest ids); a text without direction gets the labels' mean."""
         if not len(self.labels):
             return np.full(len(texts), 0.5)
         x = (texts - self.mean) @ self.basis
         cosine = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.labels))
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        near = _nearest(cosine, k)
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6).astype(float) ** SHARPNESS * self.weights[near]
         return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0, 1)
 
 
+def _nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The places of the k greatest of each row; of equal ones at the end the first, as the voters go by doc_id."""
+    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    last = np.take_along_axis(cosine, near, axis=1).min(axis=1)
+    for i in np.flatnonzero((cosine >= last[:, None]).sum(axis=1) > k):
+        over, equal = np.flatnonzero(cosine[i] > last[i]), np.flatnonzero(cosine[i] == last[i])
+        near[i] = np.r_[over, equal[: k - len(over)]]
+    return near
+
+
 def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, rank: int = RANK) -> Voters:
     """Fit on labelled (doc_id, label in 0..1, one row an id): up to `sample` rows of labels below and from 0.5 on."""
     chosen = None

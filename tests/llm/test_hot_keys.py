@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomline.llm import common, exact_dedup, graph, jaccard, language, media, suffixes
+from loomline.llm import common, exact_dedup, graph, jaccard, language, media, quality, suffixes
 from test_operators import brute_components
 
 
@@ -120,3 +120,19 @@ def test_languages_without_end(spark, monkeypatch):
     monkeypatch.setattr(language, "MOST_LANGUAGES", 29)
     with pytest.raises(ValueError, match="29 languages"):
         language.profiles(docs)
+
+
+def test_ties_among_the_nearest():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 6, (200, 40)).astype(np.float32)
+    got = quality._nearest(x, 15)
+    for row, places in zip(x, got, strict=True):
+        assert set(places) == set(sorted(range(40), key=lambda j: (-row[j], j))[:15])
+    assert quality._nearest(x, 40).shape == (200, 40)
+
+
+def test_score_where_everybody_is_equally_near():
+    """Forty equal vectors, half of each label in the order of ids: the first fifteen vote."""
+    labels = np.array([1.0] * 10 + [0.0] * 30)
+    voters = quality.Voters(np.zeros(4, np.float32), np.eye(4, dtype=np.float32), np.ones((40, 4), np.float32) / 2, labels, np.ones(40))
+    assert abs(voters.score(np.ones((3, 4), np.float32)) - 10 / 15).max() < 1e-6
