@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.payload import payload_of, payloads_of
+from loomline.functions.tables import written
 from loomline.operators.fold import running, to_rows
 from loomline.sources import dimensions
 
@@ -211,7 +212,8 @@ def _reviewed_turns(turns: DataFrame) -> DataFrame:
         "id", "turn", "role", (~_is(role, "system")).alias("spoken"), _found(message_tests(role, p)).alias("codes"), is_call(role, p).alias("call"), is_result(role, p).alias("result"), is_final(role, p).alias("final"),
         p["id_key"].alias("call_key"), F.when(_has(p, "tool_call_id"), p["tool_call_id_key"]).alias("result_key"), p["tool_name"].alias("tool_name"), F.when(is_final(role, p), F.coalesce(p["answer"], F.lit(""))).alias("answer"),
     )
-    return running(own, ["id"], ["spoken", "turn"], before={"before": F.struct("role", "spoken")}, part="part")
+    # written first, as sorting by ranges looks at its input twice, and contents are to be parsed once
+    return running(written(own, "parsed"), ["id"], ["spoken", "turn"], before={"before": F.struct("role", "spoken")}, part="part")
 
 
 def _sequence_facts(rows: DataFrame) -> DataFrame:
@@ -236,7 +238,7 @@ def turn_issues(turns: DataFrame) -> DataFrame:
     gathered in one task. An empty table gives an empty result.
     """
     own = _parsed_turns(turns).select("id", "turn", "role", message_issues(F.col("role"), F.col("p")).alias("issues"))
-    rows = running(own, ["id"], ["turn"], sums={"place": F.lit(1)}, part="part")
+    rows = running(written(own, "parsed"), ["id"], ["turn"], sums={"place": F.lit(1)}, part="part")
     at = lambda k: F.max(F.when(F.col("place") == k, F.col("role")))
     facts = rows.groupBy("id").agg(F.max("place").alias("n"), at(1).alias("first"), at(2).alias("second"), F.max_by("role", "place").alias("last"))
     whole = F.when(F.col("n") < 4, F.array(F.lit(TOO_FEW))).otherwise(place_issues(F.col("first"), F.col("second"), F.col("last")))
