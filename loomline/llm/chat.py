@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.common import BROADCAST_IDS, bounded_batches, staged
+from loomline.llm.common import BROADCAST_IDS, SLICE_BYTES, bounded_batches, staged
 from loomline.llm.tokens import _piece_counts, whole_tokens
 from loomline.operators.fold import running
 
@@ -99,8 +99,12 @@ def counted_turns(turns: DataFrame, model_path: str) -> DataFrame:
         for batch in batches:
             blocks = [formatted_turn(r, t).encode() for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             offsets = np.r_[0, np.cumsum([len(b) for b in blocks])].astype(np.int64)
-            n = _piece_counts(np.frombuffer(b"".join(blocks), np.uint8), offsets, model_path, whole) if blocks else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n)], [*batch.schema.names, "tokens"])
+            n, at = [np.zeros(0, np.int64)], 0
+            while at < len(blocks):  # about SLICE_BYTES at a time
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+                n.append(_piece_counts(np.frombuffer(b"".join(blocks[at:to]), np.uint8), offsets[at : to + 1] - offsets[at], model_path, whole))
+                at = to
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(n))], [*batch.schema.names, "tokens"])
 
     return rows.mapInArrow(count, "conv_id long, turn long, role string, text string, tokens long")
 

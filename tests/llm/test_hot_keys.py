@@ -81,12 +81,12 @@ def test_only_some_rows_of_a_set_are_fresh(spark, monkeypatch):
 
 
 def test_near_copies_below_the_threshold(spark):
-    """3,000 texts, all near to each other and none near enough: no link, and equal answers for the ones that are."""
+    """1,200 texts, all near to each other and none near enough: no link, and equal answers for the ones that are."""
     rng = np.random.default_rng(5)
     words = np.array([f"w{i}" for i in range(50_000)])
     base = rng.integers(0, 1000, 300)
     rows = []
-    for i in range(3000):
+    for i in range(1200):
         own = base.copy()
         own[rng.choice(300, 8, replace=False)] = rng.integers(1000, 50_000, 8)
         rows.append((i, " ".join(words[own])))
@@ -136,3 +136,35 @@ def test_score_where_everybody_is_equally_near():
     labels = np.array([1.0] * 10 + [0.0] * 30)
     voters = quality.Voters(np.zeros(4, np.float32), np.eye(4, dtype=np.float32), np.ones((40, 4), np.float32) / 2, labels, np.ones(40))
     assert abs(voters.score(np.ones((3, 4), np.float32)) - 10 / 15).max() < 1e-6
+
+
+def test_families_in_many_chunks(spark, monkeypatch):
+    """Families of texts on both sides of the threshold, in many chunks of eight, against brute force."""
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    rng = np.random.default_rng(7)
+    words = np.array([f"w{i}" for i in range(40_000)])
+    shared = rng.integers(30_000, 40_000, 60)
+    rows = []
+    for family in range(4):
+        base = rng.integers(0, 3000, 220)
+        for _ in range(60):
+            own = base.copy()
+            own[rng.choice(220, rng.integers(1, 6), replace=False)] = rng.integers(3000, 30_000)
+            if family == 3:  # of different lengths, and with a passage of other texts
+                own = np.r_[own[: rng.integers(120, 220)], shared]
+            rows.append((len(rows), " ".join(words[own])))
+    rows += [(len(rows) + i, " ".join(words[np.r_[rng.integers(0, 30_000, 40), shared]])) for i in range(30)]
+    seen = []
+    staged = jaccard.staged
+
+    def noted(table, label):
+        out = staged(table, label)
+        if label == "opened":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", noted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    want = brute_components(rows, 3, 90)
+    assert got == want and seen and seen[0] > 0
+    assert 20 < len({c for _, c in want.values()}) < 260
