@@ -35,7 +35,9 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    """The ids of events, dealt out over tasks, as what is made of an id is far more work than reading it."""
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("id")).repartition(tasks, "id")
 
 
 def _u(stream: str, seed: int | str = SEED, row: str = "id") -> str:
