@@ -9,8 +9,11 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from loomline.functions.slices import slices
+
 #: json: `object`, `other` (JSON of another kind) or null (json.loads rejects it); everything after it is of objects only. `_key` fields tell values of
 #: different types apart, the plain ones are the text, or what Python's str() makes of another value; null and missing fields are null.
 PAYLOAD = pa.struct(
@@ -33,10 +36,10 @@ PAYLOAD = pa.struct(
         "answer_falsy": pa.bool_(),
     }
 )
-PAYLOAD_DDL = (
-    "struct<json: string, keys: array<string>, type: string, id: string, id_key: string, tool_name: string, tool_known: boolean, arguments_kind: string, argument_names: array<string>, "
-    "tool_call_id: string, tool_call_id_key: string, output: string, output_json: string, exit_zero: boolean, answer: string, answer_falsy: boolean>"
-)
+_DDL = {pa.string(): "string", pa.bool_(): "boolean", pa.list_(pa.string()): "array<string>"}
+#: The fields that the validator looks at; the critic takes all.
+VALIDATED = ("json", "keys", "type", "tool_name", "tool_known", "answer_falsy")
+ALL = tuple(f.name for f in PAYLOAD)
 _KINDS = {dict: "object", list: "list", str: "text", bool: "boolean", int: "number", float: "number", type(None): "null"}
 
 
@@ -57,26 +60,28 @@ def _shown(value: object) -> str | None:
     return None if value is None else _utf8(value if isinstance(value, str) else str(value))
 
 
-def payload(text: str | None, tools: frozenset[str]) -> dict | None:
-    """The fields of PAYLOAD for one content."""
+def payload(text: str | None, tools: frozenset[str], links: bool = True) -> dict | None:
+    """The fields of PAYLOAD for one content; without links only those that VALIDATED names are sure to be there."""
     ok, value = parsed(text)
     if not ok:
         return {}
     if not isinstance(value, dict):
         return {"json": "other"}
-    kind = value.get("type")
-    name, arguments, output, answer = value.get("tool_name"), value.get("arguments"), value.get("output"), value.get("content")
+    kind, name, answer = value.get("type"), value.get("tool_name"), value.get("content")
     out = {
         "json": "object",
         "keys": [_utf8(k) for k in value],
         "type": _utf8(kind) if isinstance(kind, str) else None,
         "tool_name": _shown(name),
         "tool_known": isinstance(name, str) and name in tools,
-        "arguments_kind": _KINDS[type(arguments)] if "arguments" in value else None,
-        "argument_names": [_utf8(k) for k in arguments] if isinstance(arguments, dict) else [],
-        "answer": _shown(answer),
         "answer_falsy": not answer,
     }
+    if not links:
+        return out
+    arguments, output = value.get("arguments"), value.get("output")
+    out["arguments_kind"] = _KINDS[type(arguments)] if "arguments" in value else None
+    out["argument_names"] = [_utf8(k) for k in arguments] if isinstance(arguments, dict) else []
+    out["answer"] = _shown(answer)
     for field in ("id", "tool_call_id"):
         out[field] = _shown(value.get(field))
         out[f"{field}_key"] = json.dumps(value.get(field), sort_keys=True)
@@ -89,23 +94,39 @@ def payload(text: str | None, tools: frozenset[str]) -> dict | None:
     return out
 
 
-def payload_of(tools: list[str]):
-    """A function of a content column: its PAYLOAD; null contents have one whose json is null."""
+def payload_array(texts: pa.Array, tools: frozenset[str], names: tuple[str, ...] = ALL) -> pa.Array:
+    """PAYLOAD's fields of these names for each text. Only one slice's values are Python objects at a time, however long the array is."""
+    links, fields = not set(names) <= set(VALIDATED), [PAYLOAD.field(n) for n in names]
+    parts = [pa.array([], pa.struct(fields))]
+    for part in slices(texts):
+        found = [payload(t, tools, links) for t in part.to_pylist()]
+        parts.append(pa.StructArray.from_arrays([pa.array([p.get(f.name) for p in found], f.type) for f in fields], fields=fields))
+    return pa.concat_arrays(parts)
+
+
+def _ddl(names: tuple[str, ...]) -> str:
+    return f"struct<{', '.join(f'{n}: {_DDL[PAYLOAD.field(n).type]}' for n in names)}>"
+
+
+def payload_of(tools: list[str], names: tuple[str, ...] = ALL):
+    """A function of a content column: its PAYLOAD's fields of these names; null contents have one whose json is null."""
     known = frozenset(tools)
 
-    @F.arrow_udf(PAYLOAD_DDL)
+    @F.arrow_udf(_ddl(names))
     def one(contents: pa.Array) -> pa.Array:
-        return pa.array([payload(t, known) for t in contents.to_pylist()], PAYLOAD)
+        return payload_array(contents, known, names)
 
     return one
 
 
-def payloads_of(tools: list[str]):
-    """A function of an array of contents: the PAYLOAD of each; a null array stays null."""
+def payloads_of(tools: list[str], names: tuple[str, ...] = ALL):
+    """A function of an array of contents: the PAYLOAD's fields of these names for each; a null array stays null."""
     known = frozenset(tools)
 
-    @F.arrow_udf(f"array<{PAYLOAD_DDL}>")
+    @F.arrow_udf(f"array<{_ddl(names)}>")
     def each(contents: pa.Array) -> pa.Array:
-        return pa.array([None if texts is None else [payload(t, known) for t in texts] for texts in contents.to_pylist()], pa.list_(PAYLOAD))
+        sizes = pc.fill_null(pc.list_value_length(contents), 0)
+        ends = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())])
+        return pa.ListArray.from_arrays(ends, payload_array(contents.flatten(), known, names), mask=contents.is_null())
 
     return each

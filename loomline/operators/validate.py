@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.functions.payload import payload_of, payloads_of
+from loomline.functions.payload import ALL, VALIDATED, payload_of, payloads_of
+from loomline.functions.slices import bounded_batches
 from loomline.functions.tables import written
 from loomline.operators.fold import running, to_rows
 from loomline.sources import dimensions
@@ -27,7 +28,7 @@ TOO_FEW = "too few messages"
 
 def strict_json(content: Column | str) -> Column:
     """`object` or `other` for what json.loads takes, null for what it rejects."""
-    return payload_of(dimensions.TOOL_NAMES)(content)["json"]
+    return payload_of(dimensions.TOOL_NAMES, ("json",))(content)["json"]
 
 
 def _is(value: Column, want: str) -> Column:
@@ -51,10 +52,11 @@ def _looked_at(role: Column, content: Column) -> Column:
     return F.when(role.isin("assistant", "tool"), content)
 
 
-def with_parsed(trajectories: DataFrame) -> DataFrame:
-    """trajectories with t: for each message its role and p, the payload of its content (looked at for assistant and tool messages only)."""
+def with_parsed(trajectories: DataFrame, fields: tuple[str, ...] = ALL) -> DataFrame:
+    """trajectories with t: for each message its role and p, these fields of its content's payload (looked at for assistant and tool messages only)."""
+    bounded_batches(trajectories.sparkSession)
     own = F.transform("messages", lambda m: _looked_at(m["role"], m["content"]))
-    rows = trajectories.withColumn("payloads_", payloads_of(dimensions.TOOL_NAMES)(own))
+    rows = trajectories.withColumn("payloads_", payloads_of(dimensions.TOOL_NAMES, fields)(own))
     return rows.withColumn("t", F.zip_with("messages", "payloads_", lambda m, p: F.struct(m["role"].alias("role"), p.alias("p")))).drop("payloads_")
 
 
@@ -88,7 +90,7 @@ def structural_issues(trajectories: DataFrame) -> DataFrame:
     order = place_issues(F.get(m, F.lit(0))["role"], F.get(m, F.lit(1))["role"], F.try_element_at(m, F.lit(-1))["role"])
     few = F.coalesce(F.size("messages"), F.lit(0)) < 4
     issues = F.when(few, F.array(F.lit(TOO_FEW))).otherwise(F.concat(order, F.flatten(F.transform("t", lambda x: message_issues(x["role"], x["p"])))))
-    return with_parsed(trajectories).select(*[c for c in NAMES if c in trajectories.columns], issues.alias("issues"))
+    return with_parsed(trajectories, VALIDATED).select(*[c for c in NAMES if c in trajectories.columns], issues.alias("issues"))
 
 
 def valid_only(trajectories: DataFrame) -> DataFrame:
@@ -200,9 +202,10 @@ def critique(trajectories: DataFrame) -> DataFrame:
     return with_codes(trajectories).select(*names, F.explode_outer("codes").alias("x")).where("x IS NOT NULL").select(*names, "x.*")
 
 
-def _parsed_turns(turns: DataFrame) -> DataFrame:
-    """turns (id, turn, role, content) with the content's payload, p, in its place."""
-    return turns.select("id", "turn", "role", _looked_at(F.col("role"), F.col("content")).alias("content")).withColumn("p", payload_of(dimensions.TOOL_NAMES)(F.col("content"))).drop("content")
+def _parsed_turns(turns: DataFrame, fields: tuple[str, ...] = ALL) -> DataFrame:
+    """turns (id, turn, role, content) with these fields of the content's payload, p, in its place."""
+    bounded_batches(turns.sparkSession)
+    return turns.select("id", "turn", "role", _looked_at(F.col("role"), F.col("content")).alias("content")).withColumn("p", payload_of(dimensions.TOOL_NAMES, fields)(F.col("content"))).drop("content")
 
 
 def _reviewed_turns(turns: DataFrame) -> DataFrame:
@@ -237,7 +240,7 @@ def turn_issues(turns: DataFrame) -> DataFrame:
     turn is null for what concerns the whole conversation. Turns of one conversation are told apart by turn; a null id is an id like others. No conversation is
     gathered in one task. An empty table gives an empty result.
     """
-    own = _parsed_turns(turns).select("id", "turn", "role", message_issues(F.col("role"), F.col("p")).alias("issues"))
+    own = _parsed_turns(turns, VALIDATED).select("id", "turn", "role", message_issues(F.col("role"), F.col("p")).alias("issues"))
     rows = running(written(own, "parsed"), ["id"], ["turn"], sums={"place": F.lit(1)}, part="part")
     at = lambda k: F.max(F.when(F.col("place") == k, F.col("role")))
     facts = rows.groupBy("id").agg(F.max("place").alias("n"), at(1).alias("first"), at(2).alias("second"), F.max_by("role", "place").alias("last"))

@@ -7,6 +7,7 @@ import hashlib
 import json
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,3 +293,20 @@ def test_jobs_on_files(spark, tmp_path):
     assert again[1:] == ["repaired 0", said[2]]
     with pytest.raises(SystemExit):
         cli.file_arguments(["validate"])
+
+
+def test_only_a_slice_of_a_batch_is_parsed_at_a_time(monkeypatch):
+    """Lines and contents of one batch become Python objects slice by slice, and give what they give at once."""
+    from loomline.functions import payload
+    from loomline.functions.slices import slices
+
+    texts = pa.array([None, "", "x" * 30, '{"type":"tool_call","id":null}', "[1]", "é" * 9, None, '{"type":"final_answer"}'])
+    parts = list(slices(texts, most=25, rows=3))
+    assert pa.concat_arrays(parts) == texts and all(len(p) <= 3 for p in parts) and len(parts) > 3
+    assert list(slices(pa.array([], pa.string()))) == []
+    seen = []
+    monkeypatch.setattr(payload, "slices", lambda a: seen.extend(p := list(slices(a, 25, 3))) or p)
+    whole = payload.payload_array(texts, frozenset())
+    assert whole.to_pylist() == [{n: payload.payload(t, frozenset()).get(n) for n in payload.ALL} for t in texts.to_pylist()]
+    few = payload.payload_array(texts.slice(2), frozenset(), payload.VALIDATED)
+    assert few.to_pylist() == [{n: p[n] for n in payload.VALIDATED} for p in whole.to_pylist()[2:]] and len(seen) > 5
