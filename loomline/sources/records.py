@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from loomline.functions.slices import bounded_batches, slices
 from loomline.functions.tables import scratch_dir
 from loomline.sources.jsonl import RECORD
 
@@ -66,7 +67,9 @@ def scanned(line: str | None, schema: T.StructType = RECORD) -> dict:
 
 @F.arrow_udf(SCAN)
 def _scan(lines: pa.Array) -> pa.Array:
-    return pa.array([scanned(x) for x in lines.to_pylist()], to_arrow_type(SCAN))
+    """Only one slice's records are Python objects at a time: a record's are many times as large as its line."""
+    kind = to_arrow_type(SCAN)
+    return pa.concat_arrays([pa.array([], kind), *(pa.array([scanned(x) for x in part.to_pylist()], kind) for part in slices(lines))])
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -79,6 +82,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 def scanned_lines(lines: DataFrame) -> DataFrame:
     """scan() of lines that Spark's text source reads, as a table or as a stream."""
+    bounded_batches(lines.sparkSession)
     rows = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")).withColumn("x", _scan("line"))
     return rows.select("file", "line", "x.reason", "x.record.*")
 

@@ -310,3 +310,11 @@ def test_only_a_slice_of_a_batch_is_parsed_at_a_time(monkeypatch):
     assert whole.to_pylist() == [{n: payload.payload(t, frozenset()).get(n) for n in payload.ALL} for t in texts.to_pylist()]
     few = payload.payload_array(texts.slice(2), frozenset(), payload.VALIDATED)
     assert few.to_pylist() == [{n: p[n] for n in payload.VALIDATED} for p in whole.to_pylist()[2:]] and len(seen) > 5
+
+
+def test_lines_are_scanned_slice_by_slice(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text("".join(f'{{"messages": [{{"role": "user", "content": "{i}"}}]}}\n' if i % 5 else "{\n" for i in range(2503)))
+    rows = records.scan(spark, str(tmp_path / "in")).select("reason", F.get("messages", F.lit(0))["content"].alias("c")).collect()
+    assert sum(r["reason"] == "not JSON" for r in rows) == 501 and {r["c"] for r in rows if not r["reason"]} == {str(i) for i in range(2503) if i % 5}
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(8 << 20)
