@@ -95,6 +95,8 @@ def structural_issues(trajectories: DataFrame) -> DataFrame:
 
 def valid_only(trajectories: DataFrame) -> DataFrame:
     """The trajectories without any issue, in their own columns."""
+    # through a generator, as Spark moves the filter on issues below plain columns, and then makes the messages again each time that it names them
+    trajectories = trajectories.select(F.inline_outer(F.array(F.struct(*trajectories.columns))))
     rows = trajectories.select(F.struct(*trajectories.columns).alias("row"), "messages")
     return structural_issues(rows.withColumn("id", F.col("row"))).where(F.size("issues") == 0).select("id.*")
 

@@ -125,3 +125,10 @@ def test_report_ties_keep_first_seen_order(spark):
     rows = spark.createDataFrame([("d", 1, "b"), ("d", 2, "a"), ("d", 3, None)], "dataset string, id long, tool string")
     top = report.top(report.distribution(rows, ["tool"]), 3).orderBy("rank").collect()
     assert [r["value"] for r in top] == ["b", "a", "?"]
+
+
+def test_valid_rows_are_rendered_once(spark):
+    """The filter on issues must not make the messages again: Spark would move it below the rendering and name that several times."""
+    made = generate.library_batch(spark, 10, generated_at="now")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("You are a command-line assistant") == 1
+    assert made.count() == 10
