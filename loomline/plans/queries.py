@@ -34,10 +34,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of events, dealt out over tasks, as what is made of an id is far more work than reading it."""
+def row_ids(spark: SparkSession, sf_dir: str, table: str = "events", column: str = "event_id") -> DataFrame:
+    """The ids of events, or of another table, dealt out over tasks, as what is made of an id is far more work than reading it."""
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("id")).repartition(tasks, "id")
+    return _t(spark, sf_dir, table).select(F.col(column).alias("id")).repartition(tasks, "id")
 
 
 def _u(stream: str, seed: int | str = SEED, row: str = "id") -> str:
@@ -236,7 +236,7 @@ def gen_intent_diversity(spark, sf_dir):
 
 @query("SELECT l AS language, t AS tone, f AS formality, count(*) AS n FROM (VALUES ('en'), ('hi'), ('es')) a(l), (VALUES ('casual'), ('technical')) b(t), (VALUES ('formal'), ('neutral')) c(f), supplier GROUP BY ALL")
 def gen_locale_cross_product(spark, sf_dir):
-    made = generate.localized_batch(spark, ["en", "hi", "es"], ["casual", "technical"], ["formal", "neutral"], _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")))
+    made = generate.localized_batch(spark, ["en", "hi", "es"], ["casual", "technical"], ["formal", "neutral"], row_ids(spark, sf_dir, "supplier", "s_suppkey"))
     return made.groupBy(*[F.col(f"localization.{c}").alias(c) for c in ("language", "tone", "formality")]).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -132,3 +132,11 @@ def test_valid_rows_are_rendered_once(spark):
     made = generate.library_batch(spark, 10, generated_at="now")
     assert made._jdf.queryExecution().optimizedPlan().toString().count("You are a command-line assistant") == 1
     assert made.count() == 10
+
+
+def test_locale_cross_product_deals_out_its_ids(spark):
+    """A small supplier file is one task's to read; what is made of its ids must not be."""
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["gen_locale_cross_product"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
