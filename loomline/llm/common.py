@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,6 +44,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """Rows that the driver has made, handed on as Arrow: of a list of tuples Spark makes an RDD, for which each executor starts a second set of Python workers and keeps it."""
+    lists = zip(*rows, strict=True) if rows else [()] * len(columns)
+    return spark.createDataFrame(pa.table([pa.array(list(x), kind) for x, kind in zip(lists, columns.values(), strict=True)], names=list(columns)))
+
+
+def give_back() -> None:
+    """Memory that this worker has freed but still holds goes back to the system; elsewhere than under glibc nothing is done."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches end at 8 MB, so that long texts don't pile up in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
@@ -135,6 +149,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_B
         to = min(at + rows, max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
         yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    give_back()
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.common import WORD_RE, bounded_batches, mix, running_offset, staged
+from loomline.llm.common import WORD_RE, bounded_batches, mix, running_offset, small_table, staged
 
 WEIGHTS = (5, 2, 1)
 #: Sources that the driver plans for, a row each and one for each output shard; more raise an error before anything is gathered.
@@ -114,7 +114,7 @@ def plan_mix(docs: DataFrame, carry: bool, block: int = 512, shards: int = 64, s
     before = np.cumsum(drawn, axis=0) - drawn
     # a row a source comes from the driver; its shards' cells are made in Spark
     each = [(k, sources[k][0], *plan[i], zlib.crc32(f"{seed}|{k}".encode()), drawn[:, i].tolist(), before[:, i].tolist()) for i, k in enumerate(names)]
-    each = spark.createDataFrame(each, "key string, n long, all long, rest long, seed long, draws array<long>, before array<long>")
+    each = small_table(spark, each, {"key": pa.string(), **{c: pa.int64() for c in ("n", "all", "rest", "seed")}, "draws": pa.list_(pa.int64()), "before": pa.list_(pa.int64())})
     cells = each.select("key", "n", "all", "rest", "seed", F.posexplode(F.arrays_zip("draws", "before")).alias("shard", "x")).select("key", "n", "all", "rest", "seed", "shard", "x.draws", "x.before").where("draws > 0")
     step = 1 << 16
     lots = cells.withColumn("lot", F.explode(F.expr(f"sequence(0L, (draws - 1) div {step})")))
@@ -160,7 +160,7 @@ def mix_sources(docs: DataFrame, block: int = 512, shards: int = 64, seed: int =
     """
     mix = plan_mix(docs, False, block, shards, seed, weights)
     taken = taken_pieces(mix).groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
-    about = docs.sparkSession.createDataFrame([(k, n, t) for k, (n, t) in mix.sources.items()], "key string, source_size long, target double")
+    about = small_table(docs.sparkSession, [(k, n, t) for k, (n, t) in mix.sources.items()], {"key": pa.string(), "source_size": pa.int64(), "target": pa.float64()})
     return mix.rows.join(F.broadcast(about), "key").join(taken, "row", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 

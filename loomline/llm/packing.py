@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import id_and_text, running_offset, staged, text_slices
+from loomline.llm.common import id_and_text, running_offset, small_table, staged, text_slices
 from loomline.llm.tokens import crc32_of_ids, encode_ids
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
-SLOTS = "length long, rank_from long, rank_to long, first_sequence long, sequences long, base long, bucket long"
+SLOTS = ("length", "rank_from", "rank_to", "first_sequence", "sequences", "base", "bucket")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True) -> DataFrame:
@@ -120,7 +120,7 @@ def best_fit_pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, en
     pieces = staged(token_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     entries, width = by_rank_bucket(plan_best_fit(histogram, capacity), histogram)
-    plan, widths = spark.createDataFrame(entries, SLOTS), spark.createDataFrame(list(width.items()), "length long, width long")
+    plan, widths = small_table(spark, entries, {c: pa.int64() for c in SLOTS}), small_table(spark, list(width.items()), {"length": pa.int64(), "width": pa.int64()})
     ranked = running_offset(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", rows=sum(histogram.values()))
     bucketed = ranked.join(F.broadcast(widths), "length").withColumn("bucket", F.expr("rank div width"))
     placed = bucketed.join(F.broadcast(plan), ["length", "bucket"]).where("rank >= rank_from AND rank < rank_to")

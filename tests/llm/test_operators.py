@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomline.llm import exact_dedup, graph, jaccard, language, media, mixing, packing, quality, sharding, suffixes, tokens
+from loomline.llm import common, exact_dedup, graph, jaccard, language, media, mixing, packing, quality, sharding, suffixes, tokens
 
 WORDS = "[^\x20\x09-\x0d]+"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string, n string, cls string, shard string, tokens string"
@@ -656,3 +656,12 @@ def test_large_group_of_near_copies(spark, edits):
         root = new
     got = {x["doc_id"]: x["component_id"] for x in jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 5, 80).collect()}
     assert got == dict(enumerate(root.tolist()))
+
+
+def test_small_tables_take_no_python_workers(spark):
+    """An RDD of Python rows would have each executor start and keep a second set of workers."""
+    kinds = {"a": pa.string(), "b": pa.list_(pa.int64())}
+    made = common.small_table(spark, [("x", [1, 2]), ("y", [])], kinds)
+    assert sorted(map(tuple, made.collect())) == [("x", [1, 2]), ("y", [])]
+    assert common.small_table(spark, [], kinds).collect() == [] and common.small_table(spark, [], kinds).columns == ["a", "b"]
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
